@@ -1,4 +1,493 @@
 """All queries of the engine by name, and DuckDB SQL for them."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import geo, keys, registry, tags
+from ..geometry import wkb
+from ..operators import augment as aug
+from ..operators import closure, edges, history, render, snapshots
+from ..schema import NODE, RELATION, STORAGE, UPDATE, WAY, entities
+from ..scratch import WorkTables
+from ..sources.paths import sequence_path
+from ..sources.store import lookup, read_store, write_store
+from . import adapter as ad
+
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- shared SQL ---------------------------------------------------------------------------
+
+_ENTITIES = "SELECT p_partkey AS id, 'node' AS type, 0 AS code FROM part UNION ALL SELECT o_orderkey, 'way', 1 FROM orders UNION ALL SELECT c_custkey, 'relation', 2 FROM customer"
+_LEAD = "CASE " + " ".join(f"WHEN id // {10**k} <= {keys.LARGEST} THEN id // {10**k}" for k in range(17)) + " END"
+_ND = "nd AS (SELECT o_orderkey AS id, l_partkey AS ref, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS pos FROM orders JOIN lineitem ON l_orderkey = o_orderkey)"
+_MEM = f"""mem AS (
+    SELECT o_custkey::BIGINT AS id, 'way' AS mt, o_orderkey AS ref FROM orders
+    UNION ALL SELECT {ad.NATION} + c_nationkey, 'relation', c_custkey FROM customer
+    UNION ALL SELECT {ad.REGION} + n_regionkey, 'relation', {ad.NATION} + n_nationkey FROM nation)"""
+_EDGES = f"""{_ND}, {_MEM},
+    e AS (SELECT ref * 4 AS a, id * 4 + 1 AS b FROM nd UNION ALL SELECT ref * 4 + CASE mt WHEN 'way' THEN 1 ELSE 2 END, id * 4 + 2 FROM mem)"""
+_CLOSURE = f"{_EDGES}, d AS (SELECT DISTINCT a, b FROM e), cl AS (SELECT a, b FROM d UNION SELECT cl.a, d.b FROM cl JOIN d ON cl.b = d.a)"
+_X = lambda c: f"(({c} * 37) % 36000 - 18000)"
+_Y = lambda c: f"(({c} * 53) % 17000 - 8500)"
+
+
+# --- keys and scalars ---------------------------------------------------------------------
+
+
+def _kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part, order, customer = (ad.table(spark, sf_dir, t) for t in ("part", "orders", "customer"))
+    rows = part.select(F.col("p_partkey").alias("id"), F.lit(NODE).alias("type"))
+    return rows.unionAll(order.select("o_orderkey", F.lit(WAY))).unionAll(customer.select("c_custkey", F.lit(RELATION)))
+
+
+@query(f"SELECT id, type, id * 4 + code AS key FROM ({_ENTITIES})")
+def key_pack(spark, sf_dir):
+    return _kinds(spark, sf_dir).withColumn("key", keys.pack(F.col("id"), F.col("type")))
+
+
+@query(f"SELECT id * 4 + code AS key, id, type FROM ({_ENTITIES})")
+def key_unpack(spark, sf_dir):
+    k = key_pack(spark, sf_dir).select("key")
+    return k.select("key", keys.unpack_id(F.col("key")).alias("id"), keys.unpack_type(F.col("key")).alias("type"))
+
+
+@query(f"SELECT id, type, xor(({_LEAD})::BIGINT, code::BIGINT) AS p FROM ({_ENTITIES})")
+def partition_number(spark, sf_dir):
+    return _kinds(spark, sf_dir).withColumn("p", keys.partition_number(F.col("id"), F.col("type")))
+
+
+@query(f"SELECT p, count(*) AS n FROM (SELECT xor(({_LEAD})::BIGINT, code::BIGINT) AS p FROM ({_ENTITIES})) GROUP BY p")
+def partition_histogram(spark, sf_dir):
+    return partition_number(spark, sf_dir).groupBy("p").agg(F.count("*").alias("n"))
+
+
+@query("""
+    WITH t AS (SELECT event_id, user_id::DOUBLE AS u, ts, CASE WHEN event_id % 7 <> 0 THEN value::DECIMAL(12,2) END AS v FROM events)
+    SELECT event_id, CASE WHEN v IS NOT NULL THEN greatest(v::DOUBLE, u) END AS larger_of, epoch_us(ts) // 1000 AS instant_ms,
+        lpad(right(event_id::VARCHAR, 3), 3, '0') AS digits, isnan(coalesce(v::DOUBLE, 'NaN'::DOUBLE)) AS no_double,
+        coalesce(v::FLOAT, 0::FLOAT)::DOUBLE AS as_float FROM t""")
+def scalar_misc(spark, sf_dir):
+    e = ad.table(spark, sf_dir, "events")
+    v = F.when(F.col("event_id") % 7 != 0, F.col("value").cast("decimal(12,2)"))
+    f = keys.as_float(v)
+    return e.select(
+        "event_id", keys.larger(v.cast("double"), F.col("user_id").cast("double")).alias("larger_of"), keys.instant(F.col("ts")).alias("instant_ms"), keys.three_digits(F.col("event_id")).alias("digits"),
+        F.isnan(keys.as_double(v)).alias("no_double"), F.when(F.isnan(f), 0.0).otherwise(f.cast("double")).alias("as_float"),
+    )
+
+
+# --- tags ---------------------------------------------------------------------------------
+
+_TAG_KEYS = ("building", "amenity", "aerialway", "leisure", "natural", "waterway", "highway", "addr:*")
+_TAG_VALUES = ("yes", "bench", "gondola", "track", "coastline", "river")
+_AREA_VALUES = ("YES", "no", "maybe")
+_TYPE_VALUES = ("Multipolygon", "boundary", "route", "ROUTE")
+
+
+def _tagged(spark, sf_dir):
+    """Parts with one key of a list, a value of another, sometimes an area tag and a type tag."""
+    i = F.col("p_partkey")
+    pick = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (k % len(values)).cast("int") + 1)
+    base = F.create_map(pick(_TAG_KEYS, i), pick(_TAG_VALUES, F.floor(i / 8)))
+    area = F.when(i % 11 < 3, F.create_map(F.lit("area"), pick(_AREA_VALUES, i % 11))).otherwise(F.create_map().cast("map<string,string>"))
+    kind = F.when(i % 7 < 4, F.create_map(F.lit("type"), pick(_TYPE_VALUES, i % 7))).otherwise(F.create_map().cast("map<string,string>"))
+    return ad.table(spark, sf_dir, "part").select(i.alias("id"), F.map_concat(base, area, kind).alias("tags"), base.alias("a"), F.map_concat(kind, F.create_map(F.lit("building"), F.lit("no"))).alias("b"))
+
+
+_LIST = lambda values: "[" + ", ".join(f"'{v}'" for v in values) + "]"
+_TAGGED = f"""t AS (SELECT p_partkey AS id, {_LIST(_TAG_KEYS)}[p_partkey % 8 + 1] AS k, {_LIST(_TAG_VALUES)}[(p_partkey // 8) % 6 + 1] AS v,
+    CASE WHEN p_partkey % 11 < 3 THEN {_LIST(_AREA_VALUES)}[p_partkey % 11 + 1] END AS area, CASE WHEN p_partkey % 7 < 4 THEN {_LIST(_TYPE_VALUES)}[p_partkey % 7 + 1] END AS kind FROM part)"""
+_AREA_TABLE = "areas(key, exceptions) AS (VALUES " + ", ".join(f"('{k}', {_LIST(v)}::VARCHAR[])" for k, v in tags.AREA_KEYS.items()) + ")"
+
+
+@query(f"""WITH {_TAGGED}, {_AREA_TABLE}
+    SELECT id, CASE WHEN lower(area) IN ('yes', 'no', 'true', 'false', '1', '0') THEN lower(area) IN ('yes', 'true', '1')
+        ELSE coalesce(NOT list_contains(exceptions, v), false) END AS is_area FROM t LEFT JOIN areas ON key = k""")
+def tag_area(spark, sf_dir):
+    return _tagged(spark, sf_dir).select("id", tags.is_area(F.col("tags")).alias("is_area"))
+
+
+@query(f"WITH {_TAGGED} SELECT id, coalesce(lower(kind) IN ('multipolygon', 'boundary'), false) AS is_multipolygon FROM t")
+def tag_multipolygon(spark, sf_dir):
+    return _tagged(spark, sf_dir).select("id", tags.is_multipolygon(F.col("tags")).alias("is_multipolygon"))
+
+
+@query(f"WITH {_TAGGED} SELECT id, coalesce(kind = 'route', false) AS is_route FROM t")
+def tag_route(spark, sf_dir):
+    return _tagged(spark, sf_dir).select("id", tags.is_route(F.col("tags")).alias("is_route"))
+
+
+@query(f"""WITH {_TAGGED}, m AS (SELECT id, k, v FROM t WHERE k <> 'building' UNION ALL SELECT id, 'type', kind FROM t WHERE kind IS NOT NULL UNION ALL SELECT id, 'building', 'no' FROM t)
+    SELECT id, string_agg(k || '=' || v, ';' ORDER BY k) AS merged FROM m GROUP BY id""")
+def tag_merge(spark, sf_dir):
+    merged = F.array_sort(F.map_entries(tags.merge_tags(F.col("a"), F.col("b"))))
+    return _tagged(spark, sf_dir).select("id", F.array_join(F.transform(merged, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("merged"))
+
+
+@query(f"""WITH {_TAGGED} SELECT id, CASE WHEN kind IS NULL THEN '' ELSE kind END AS kind FROM t""")
+def tag_json(spark, sf_dir):
+    j = tags.tags_json(F.col("tags"))
+    return _tagged(spark, sf_dir).select("id", F.coalesce(F.get_json_object(j, "$.type"), F.lit("")).alias("kind"))
+
+
+@query(f"""WITH {_MEM} SELECT id, row_number() OVER (PARTITION BY id ORDER BY ref) - 1 AS pos, CASE mt WHEN 'node' THEN 1 WHEN 'way' THEN 2 ELSE 3 END AS code, ref,
+    ['outer', 'inner', ''][ref % 3 + 1] AS role FROM mem""")
+def member_compress(spark, sf_dir):
+    r = ad.relations(spark, sf_dir)
+    m = r.select("id", F.posexplode(tags.compress_members(F.col("members"))).alias("pos", "m"))
+    return m.select("id", F.col("pos").cast("long").alias("pos"), F.col("m.type").cast("int").alias("code"), F.col("m.ref").alias("ref"), F.col("m.role").alias("role"))
+
+
+# --- edges and closure --------------------------------------------------------------------
+
+
+@query(f"WITH {_ND} SELECT ref * 4 AS a, id * 4 + 1 AS b FROM nd")
+def edges_way_node(spark, sf_dir):
+    return edges.way_edges(ad.ways(spark, sf_dir))
+
+
+@query(f"WITH {_MEM} SELECT ref * 4 + CASE mt WHEN 'way' THEN 1 ELSE 2 END AS a, id * 4 + 2 AS b FROM mem")
+def edges_relation_member(spark, sf_dir):
+    return edges.relation_edges(ad.relations(spark, sf_dir))
+
+
+def _edges(spark, sf_dir):
+    return edges_way_node(spark, sf_dir).unionByName(edges_relation_member(spark, sf_dir))
+
+
+@query(f"WITH {_EDGES} SELECT a, b FROM e")
+def edges_all(spark, sf_dir):
+    return _edges(spark, sf_dir)
+
+
+@query(f"WITH {_EDGES} SELECT a AS v FROM e UNION SELECT b FROM e")
+def distinct_vertices(spark, sf_dir):
+    return edges.vertices(_edges(spark, sf_dir))
+
+
+@query(f"WITH RECURSIVE {_CLOSURE} SELECT a, b FROM cl WHERE a <> b")
+def closure_full(spark, sf_dir):
+    return closure.transitive_closure(_edges(spark, sf_dir))
+
+
+#: The edges that an increment adds: those from customers of nations divisible by 5 upwards, and of every 100th order.
+_ADDED = f"(b >= {ad.NATION * 4} AND a % 5 = 0) OR (a % 4 = 1 AND a % 100 = 1)"
+
+
+@query(f"""WITH RECURSIVE {_CLOSURE}, base AS (SELECT a, b FROM d WHERE NOT ({_ADDED})), bc AS (SELECT a, b FROM base UNION SELECT bc.a, base.b FROM bc JOIN base ON bc.b = base.a)
+    SELECT a, b FROM cl WHERE a <> b EXCEPT SELECT a, b FROM bc""")
+def closure_incremental_new_edges(spark, sf_dir):
+    tmp = WorkTables(spark, "incremental")
+    e = tmp.keep(_edges(spark, sf_dir).distinct(), "edges")
+    index = tmp.keep(closure.transitive_closure(e.where(f"NOT ({_ADDED})")), "index")
+    return closure.new_index_edges(index, e.where(_ADDED))
+
+
+def _index(spark, sf_dir):
+    return WorkTables(spark, "index").keep(closure_full(spark, sf_dir), "index")
+
+
+_CHANGED = "v AS (SELECT p_partkey * 4 AS v FROM part WHERE p_partkey % 50 = 0 UNION ALL SELECT o_orderkey * 4 + 1 FROM orders WHERE o_orderkey % 500 = 0)"
+
+
+def _changed(spark, sf_dir):
+    part, order = ad.table(spark, sf_dir, "part"), ad.table(spark, sf_dir, "orders")
+    return part.where("p_partkey % 50 = 0").select(keys.pack(F.col("p_partkey"), F.lit(NODE)).alias("v")).unionAll(order.where("o_orderkey % 500 = 0").select(keys.pack(F.col("o_orderkey"), F.lit(WAY))))
+
+
+@query(f"WITH RECURSIVE {_CLOSURE}, {_CHANGED} SELECT DISTINCT b FROM cl WHERE a <> b AND a IN (SELECT v FROM v)")
+def affected_containers(spark, sf_dir):
+    return aug.affected_containers(_index(spark, sf_dir), _changed(spark, sf_dir))
+
+
+@query(f"WITH RECURSIVE {_CLOSURE}, {_CHANGED} SELECT a, b FROM cl WHERE a <> b AND b IN (SELECT DISTINCT b FROM cl WHERE a <> b AND a IN (SELECT v FROM v))")
+def affected_edges(spark, sf_dir):
+    return aug.affected_edges(_index(spark, sf_dir), _changed(spark, sf_dir))
+
+
+#: The batch of one change: two nodes move, and an order is edited.
+_SMALL = "(type = 'node' AND id IN (7, 20)) OR (type = 'way' AND id = 50)"
+_WANTED = f"""{_CLOSURE}, u AS (SELECT unnest([28, 80, 201]) AS v), c AS (SELECT v FROM u UNION SELECT b FROM cl WHERE a <> b AND a IN (SELECT v FROM u)),
+    w AS (SELECT v FROM c UNION SELECT a FROM cl WHERE a <> b AND b IN (SELECT v FROM c)),
+    wt AS (SELECT v // 4 AS id, ['node', 'way', 'relation'][v % 4 + 1] AS type, v % 4 AS code FROM w)"""
+
+
+def _small_batch(spark, sf_dir):
+    tmp = WorkTables(spark, "batch")
+    snap = tmp.keep(ad.snapshot(spark, sf_dir), "snapshot")
+    update = snap.where(_SMALL).withColumns({"version": F.lit(2).cast("long"), "timestamp": F.lit(ad.NEW).cast("timestamp")})
+    index = tmp.keep(closure.transitive_closure(edges.edges(snap)), "index")
+    return snap, update, tmp.keep(aug.wanted(index, update), "wanted")
+
+
+@query(f"WITH RECURSIVE {_WANTED} SELECT xor(({_LEAD})::BIGINT, code::BIGINT) AS p, id, type FROM wt")
+def augment_wanted_triples(spark, sf_dir):
+    return _small_batch(spark, sf_dir)[2]
+
+
+@query(f"""WITH RECURSIVE {_WANTED} SELECT id, type, 1::BIGINT AS version, 'storage' AS origin FROM wt
+    UNION ALL SELECT v // 4, ['node', 'way', 'relation'][v % 4 + 1], 2, 'update' FROM u""")
+def augment_rows(spark, sf_dir):
+    snap, update, want = _small_batch(spark, sf_dir)
+    memory = snap.where("type = 'node'")  # what a former step left unflushed is also stored by now
+    rows = aug.augment(update, memory, snap, want)
+    return rows.select("id", "type", "version", F.when(F.col("origin") == "memory", STORAGE).otherwise(F.col("origin")).alias("origin"))
+
+
+# --- histories ----------------------------------------------------------------------------
+
+_N = """n AS (SELECT p_partkey AS id, p_partkey % 10 = 0 AS now, p_partkey % 10 = 0 AND p_partkey % 20 <> 0 AS alive, p_partkey % 97 <> 5 AS old FROM part)"""
+_WFLAGS = f"""{_ND}, {_N},
+    wr AS (SELECT o_orderkey AS id, 1 AS version, true AS visible FROM orders WHERE o_orderkey % 13 <> 3 UNION ALL SELECT o_orderkey, 2, o_orderkey % 100 <> 0 FROM orders WHERE o_orderkey % 50 = 0),
+    wv AS (SELECT wr.id, wr.version, n.now, n.alive, n.old FROM wr JOIN nd ON nd.id = wr.id AND wr.visible JOIN n ON n.id = nd.ref),
+    wa AS (SELECT id, version, bool_and(now OR old) AS known, bool_or(now) AS moved, bool_and(old) AS alld, bool_or(now AND NOT alive) AS gone FROM wv GROUP BY 1, 2),
+    wf AS (SELECT wr.id, wr.version, visible, coalesce(known, true) AS complete, (wr.version = 2 OR coalesce(moved, false)) AND (NOT coalesce(gone, false) OR NOT visible) AS in_window,
+        wr.version = 1 AND coalesce(alld, true) AS prior FROM wr LEFT JOIN wa ON wa.id = wr.id AND wa.version = wr.version),
+    wh AS (SELECT id, max(version) FILTER (WHERE complete AND in_window) AS now, max(version) FILTER (WHERE complete AND prior) AS before FROM wf GROUP BY id)"""
+_RFLAGS = f"""{_WFLAGS}, {_MEM},
+    rr AS (SELECT DISTINCT id, 1 AS version FROM mem UNION ALL SELECT DISTINCT id, 2 FROM mem WHERE (id < {ad.NATION} AND id % 40 = 0) OR id = {ad.REGION + 2}),
+    rv AS (SELECT rr.id, rr.version, mt, ref, CASE WHEN mt = 'way' THEN wh.now IS NOT NULL OR wh.before IS NOT NULL ELSE ref IN (SELECT id FROM rr) END AS there,
+        mt = 'way' AND wh.now IS NOT NULL AS n, mt <> 'way' OR wh.before IS NOT NULL AS o FROM rr JOIN mem USING (id) LEFT JOIN wh ON mt = 'way' AND wh.id = ref),
+    ra AS (SELECT id, version, bool_and(there) AS complete, version = 2 OR bool_or(coalesce(n, false)) AS own_new, version = 1 AND bool_and(coalesce(o, false)) AS own_old FROM rv GROUP BY 1, 2),
+    rl AS (SELECT * FROM ra QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC) = 1),
+    up AS (SELECT DISTINCT ref AS src, id AS dst FROM mem WHERE mt = 'relation'),
+    mv AS (SELECT id AS v FROM rl WHERE own_new UNION SELECT dst FROM mv JOIN up ON src = v),
+    bl AS (SELECT id AS v FROM rl WHERE NOT own_old UNION SELECT dst FROM bl JOIN up ON src = v),
+    rf AS (SELECT id, version, complete, own_new OR EXISTS (SELECT 1 FROM up JOIN mv ON v = src WHERE dst = ra.id) AS in_window,
+        own_old AND NOT EXISTS (SELECT 1 FROM up JOIN bl ON v = src WHERE dst = ra.id) AS prior FROM ra),
+    rh AS (SELECT id, max(version) FILTER (WHERE complete AND in_window) AS now, max(version) FILTER (WHERE complete AND prior) AS before FROM rf GROUP BY id)"""
+
+
+def _histories(spark, sf_dir):
+    return history.all_histories(ad.working_set(spark, sf_dir))
+
+
+def _versions(h):
+    return h.select("id", F.col("now.version").alias("now_version"), F.col("before.version").alias("before_version"))
+
+
+@query(f"WITH {_N} SELECT id, CASE WHEN now THEN 2::BIGINT END AS now_version, CASE WHEN old THEN 1::BIGINT END AS before_version FROM n WHERE now OR old")
+def history_nodes(spark, sf_dir):
+    return _versions(history.node_histories(ad.working_set(spark, sf_dir)))
+
+
+@query(f"WITH {_N} SELECT id, CASE WHEN now THEN 2::BIGINT ELSE 1 END AS version, CASE WHEN now THEN 'update' ELSE 'storage' END AS origin FROM n WHERE now OR old")
+def history_latest(spark, sf_dir):
+    rows = ad.working_set(spark, sf_dir).where(F.col("type") == NODE)
+    return history.latest(rows).select("id", "version", "origin")
+
+
+def _way_flags(spark, sf_dir):
+    tmp = WorkTables(spark, "way-flags")
+    rows = tmp.keep(ad.working_set(spark, sf_dir).where(F.col("type") != RELATION), "rows")
+    return history.way_flags(rows, tmp.keep(history.node_histories(rows), "nodes"))
+
+
+for _name, _flag, _col in (("way_complete", "complete", "complete"), ("way_in_window", "window", "in_window"), ("way_before_window", "prior", "prior")):
+
+    def _one(spark, sf_dir, flag=_flag):
+        return _way_flags(spark, sf_dir).select("id", "version", F.col(flag).alias("flag"))
+
+    QUERIES[_name] = _one
+    ORACLE_SQL[_name] = f"WITH {_WFLAGS} SELECT id, version::BIGINT AS version, {_col} AS flag FROM wf"
+
+
+def _relation_flags(spark, sf_dir):
+    tmp = WorkTables(spark, "relation-flags")
+    rows = tmp.keep(ad.working_set(spark, sf_dir), "rows")
+    n = tmp.keep(history.node_histories(rows), "nodes")
+    return history.relation_flags(rows, n, tmp.keep(history.way_histories(rows, n), "ways"))
+
+
+for _name, _flag, _col in (("relation_complete", "complete", "complete"), ("relation_in_window", "window", "in_window"), ("relation_before_window", "prior", "prior")):
+
+    def _one(spark, sf_dir, flag=_flag):
+        return _relation_flags(spark, sf_dir).select("id", "version", F.col(flag).alias("flag"))
+
+    QUERIES[_name] = _one
+    ORACLE_SQL[_name] = f"WITH RECURSIVE {_RFLAGS} SELECT id, version::BIGINT AS version, {_col} AS flag FROM rf"
+
+
+@query(f"""WITH RECURSIVE {_RFLAGS},
+    h AS (SELECT 'node' AS type, id, CASE WHEN now THEN 2 END AS now, CASE WHEN old THEN 1 END AS before, alive AS vis FROM n WHERE now OR old
+        UNION ALL SELECT 'way', wh.id, now, before, NOT (now = 2 AND wh.id % 100 = 0) FROM wh UNION ALL SELECT 'relation', id, now, before, true FROM rh)
+    SELECT type, id, 'in' AS mode, now::BIGINT AS version, true AS visible FROM h WHERE now IS NOT NULL AND vis
+    UNION ALL SELECT type, id, 'before', before, false FROM h WHERE now IS NOT NULL AND before IS NOT NULL""")
+def feature_rows(spark, sf_dir):
+    return history.features(_histories(spark, sf_dir).all()).select("type", "id", "mode", F.col("row.version").alias("version"), "visible")
+
+
+# --- geometry -----------------------------------------------------------------------------
+
+
+@query(f"SELECT p_partkey AS id, 'POINT (' || ({_X('p_partkey')}::DECIMAL(10,2) / 100)::DECIMAL(10,7)::VARCHAR || ' ' || ({_Y('p_partkey')}::DECIMAL(10,2) / 100)::DECIMAL(9,7)::VARCHAR || ')' AS wkt FROM part")
+def node_point_wkt(spark, sf_dir):
+    return ad.nodes(spark, sf_dir).select("id", F.concat(F.lit("POINT ("), F.col("lon").cast("string"), F.lit(" "), F.col("lat").cast("string"), F.lit(")")).alias("wkt"))
+
+
+def _points(spark, sf_dir):
+    """Each way's vertices in order, in hundredths of a degree."""
+    v = ad.ways(spark, sf_dir).select("id", F.posexplode_outer("nds").alias("pos", "nd")).select("id", "pos", F.col("nd.ref").alias("ref"))
+    n = ad.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ref"), ad.lon100(F.col("p_partkey")).alias("x"), ad.lat100(F.col("p_partkey")).alias("y"))
+    at = v.join(n, "ref", "left")
+    return at.groupBy("id").agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "x", "y")))).alias("p"))
+
+
+_PT = f"{_X('ref')}::VARCHAR || ' ' || {_Y('ref')}::VARCHAR"
+
+
+def _line(p):
+    return F.concat(F.lit("("), F.array_join(F.transform(p, lambda q: F.concat(q["x"].cast("string"), F.lit(" "), q["y"].cast("string"))), ", "), F.lit(")"))
+
+
+@query(f"WITH {_ND} SELECT o_orderkey AS id, coalesce('LINESTRING (' || string_agg({_PT}, ', ' ORDER BY pos) || ')', 'LINESTRING EMPTY') AS wkt FROM orders LEFT JOIN nd ON nd.id = o_orderkey GROUP BY 1")
+def way_linestring_wkt(spark, sf_dir):
+    return _points(spark, sf_dir).select("id", F.when(F.size("p") > 0, F.concat(F.lit("LINESTRING "), _line(F.col("p")))).otherwise("LINESTRING EMPTY").alias("wkt"))
+
+
+@query(f"""WITH {_ND}, l AS (SELECT id, '(' || string_agg({_PT}, ', ' ORDER BY pos) || ')' AS line FROM nd GROUP BY id)
+    SELECT o_custkey AS id, 'MULTILINESTRING (' || string_agg(line, ', ' ORDER BY o_orderkey) || ')' AS wkt FROM orders JOIN l ON l.id = o_orderkey GROUP BY 1""")
+def relation_multiline_wkt(spark, sf_dir):
+    lines = _points(spark, sf_dir).where(F.size("p") > 0).select(F.col("id").alias("ref"), _line(F.col("p")).alias("line"))
+    m = ad.relations(spark, sf_dir).where(F.col("id") < ad.NATION).select("id", F.posexplode("members").alias("pos", "m")).select("id", "pos", F.col("m.ref").alias("ref"))
+    parts = m.join(lines, "ref").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("l"))
+    return parts.select("id", F.concat(F.lit("MULTILINESTRING ("), F.array_join(F.col("l.line"), ", "), F.lit(")")).alias("wkt"))
+
+
+@query(f"""WITH {_ND}, p AS (SELECT id, pos, {_X('ref')} AS x, {_Y('ref')} AS y, lead({_X('ref')}) OVER w AS x2, lead({_Y('ref')}) OVER w AS y2, first_value(ref) OVER w AS f, ref FROM nd WINDOW w AS (PARTITION BY id ORDER BY pos)),
+    s AS (SELECT id, count(*) AS n, sum(x * y2 - x2 * y)::BIGINT AS twice, arg_max(ref, pos) = arg_min(ref, pos) AS closed FROM p GROUP BY id)
+    SELECT o_orderkey AS id, coalesce(n, 0)::BIGINT AS vertices, coalesce(twice, 0) AS twice_area, coalesce(closed, false) AS closed FROM orders LEFT JOIN s ON s.id = o_orderkey""")
+def way_vertex_stats(spark, sf_dir):
+    p = F.col("p")
+    steps = F.zip_with(F.slice(p, F.lit(1), F.greatest(F.size(p) - 1, F.lit(0))), F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(0))), lambda a, b: a["x"] * b["y"] - b["x"] * a["y"])
+    same = F.try_element_at(p, F.lit(1))["x"].eqNullSafe(F.try_element_at(p, F.lit(-1))["x"]) & F.try_element_at(p, F.lit(1))["y"].eqNullSafe(F.try_element_at(p, F.lit(-1))["y"])
+    return _points(spark, sf_dir).select("id", F.size(p).cast("long").alias("vertices"), F.aggregate(steps, F.lit(0).cast("long"), lambda s, x: s + x).alias("twice_area"), (same & (F.size(p) > 0)).alias("closed"))
+
+
+@query(f"""SELECT p_partkey AS id, round(6378137.0 * radians({_X('p_partkey')} / 100.0), 3) AS x,
+    round(6378137.0 * ln(tan(pi() / 4 + radians({_Y('p_partkey')} / 100.0) / 2)), 3) AS y FROM part""")
+def mercator_xy(spark, sf_dir):
+    i = F.col("p_partkey")
+    return ad.table(spark, sf_dir, "part").select(i.alias("id"), F.round(geo.mercator_x(ad.lon100(i) / 100.0), 3).alias("x"), F.round(geo.mercator_y(ad.lat100(i) / 100.0), 3).alias("y"))
+
+
+@query("""WITH t AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 9 <> 0 THEN p_partkey % 180 END AS x, p_partkey % 90 AS y FROM part)
+    SELECT id, CASE WHEN x IS NULL THEN '' ELSE 'POINT (' || x || ' ' || y || ')' END AS wkt, x IS NULL AS empty, x IS NOT NULL AS valid,
+        CASE WHEN x IS NOT NULL THEN round(6378137.0 * radians(x), 2) END AS east FROM t""")
+def st_functions(spark, sf_dir):
+    i = F.col("p_partkey")
+    p = ad.table(spark, sf_dir, "part").select(i.alias("id"), geo.st_point(F.when(i % 9 != 0, (i % 180).cast("double")), (i % 90).cast("double")).alias("g"))
+    m = F.unbase64(F.base64(geo.st_transform(F.col("g"))))
+    east = F.udf(lambda b: None if b is None else float(wkb.load(b)[1][0]), "double")
+    return p.select("id", geo.st_astext("g").alias("wkt"), geo.st_isempty("g").alias("empty"), geo.st_isvalid("g").alias("valid"), F.round(east(m), 2).alias("east"))
+
+
+def _line_wkb(*points):
+    """Native WKB of a line through pairs of double columns would need byte order tricks; points are packed in Arrow batches."""
+    return render._way_wkb(F.array(*[F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in points]), F.lit(False))
+
+
+def _square(spark, sf_dir):
+    """Members of one relation for each customer: a square in two halves, one of them backwards, and a closed square inside."""
+    c = ad.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_custkey") % 100).alias("x"), (F.col("c_custkey") % 50).alias("y"))
+    x, y = F.col("x"), F.col("y")
+    at = lambda *p: _line_wkb(*[(x + a, y + b) for a, b in p])
+    return c.select("id", at((0, 0), (10, 0), (10, 10)).alias("g1"), at((0, 0), (0, 10), (10, 10)).alias("g2"), at((2, 2), (4, 2), (4, 4), (2, 4), (2, 2)).alias("g3"))
+
+
+@query("""WITH c AS (SELECT c_custkey AS id, c_custkey % 100 AS x, c_custkey % 50 AS y FROM customer)
+    SELECT id, format('POLYGON (({} {}, {} {}, {} {}, {} {}, {} {}), ({} {}, {} {}, {} {}, {} {}, {} {}))', x, y, x + 10, y, x + 10, y + 10, x, y + 10, x, y,
+        x + 2, y + 2, x + 4, y + 2, x + 4, y + 4, x + 2, y + 4, x + 2, y + 2) AS wkt FROM c""")
+def multipolygon_assemble(spark, sf_dir):
+    parts = F.array(*[F.struct(F.lit(k).alias("pos"), F.lit(WAY).alias("type"), F.lit(r).alias("role"), F.col(g).alias("wkb")) for k, (g, r) in enumerate((("g1", "outer"), ("g3", "inner"), ("g2", "outer")))])
+    return _square(spark, sf_dir).select("id", geo.st_astext(render._relation_wkb(parts, F.lit(True))).alias("wkt"))
+
+
+@query("""WITH c AS (SELECT c_custkey AS id, c_custkey % 100 AS x, c_custkey % 50 AS y FROM customer)
+    SELECT id, 'forward' AS role, format('LINESTRING ({} {}, {} {}, {} {}, {} {}, {} {})', x, y, x + 10, y, x + 10, y + 10, x, y + 10, x, y) AS wkt FROM c
+    UNION ALL SELECT id, 'stop', format('LINESTRING ({} {}, {} {}, {} {}, {} {}, {} {})', x + 2, y + 2, x + 4, y + 2, x + 4, y + 4, x + 2, y + 4, x + 2, y + 2) FROM c""")
+def route_assemble(spark, sf_dir):
+    return render.routes(_square(spark, sf_dir).select("id", F.explode(F.array(*[F.struct(F.lit(k).alias("pos"), F.lit(WAY).alias("type"), F.lit(r).alias("role"), F.col(g).alias("wkb")) for k, (g, r) in enumerate((("g1", "forward"), ("g3", "stop"), ("g2", "forward")))])).alias("m")).select("id", "m.*")).select("id", "role", geo.st_astext("wkb").alias("wkt"))
+
+
+_PROPS = """'{"id":' || id || ',"type":"node","tags":{"brand":' || to_json(p_brand) || ',"kind":' || to_json(p_type) || '},"changeset":null,"timestamp":"' ||"""
+
+
+@query(f"""WITH {_N}, f AS (SELECT id, 'in' AS mode, '2024-01-01T00:00:00Z' AS t, 2 AS v, 'true' AS vis FROM n WHERE now AND alive UNION ALL SELECT id, 'before', '2020-01-01T00:00:00Z', 1, 'false' FROM n WHERE now AND old)
+    SELECT id, mode, '{{"type":"Feature","geometry":{{"type":"Point","coordinates":[' || ({_X('id')} / 100.0)::DOUBLE || ',' || ({_Y('id')} / 100.0)::DOUBLE || ']}},"properties":' || {_PROPS}
+        t || '","uid":null,"user":null,"version":' || v || ',"visible":' || vis || '}}}}' AS value FROM f JOIN part ON p_partkey = id""")
+def geojson_lines(spark, sf_dir):
+    rows = ad.working_set(spark, sf_dir)
+    nodes = history.node_histories(rows)
+    none = nodes.limit(0)
+    return render.geojson(history.Histories(nodes, none, none)).select("id", "mode", "value")
+
+
+@query()
+def augmented_diff(spark, sf_dir):
+    """GeoJSON of everything that one batch of changes touches, of all types; SQL has no geometry to compare with."""
+    return render.geojson(_histories(spark, sf_dir))
+
+
+# --- streams, snapshots, storage ----------------------------------------------------------
+
+
+@query("""SELECT event_id, '/r/' || lpad((event_id * 997 // 1000000 % 1000)::VARCHAR, 3, '0') || '/' || lpad((event_id * 997 // 1000 % 1000)::VARCHAR, 3, '0') || '/' || lpad((event_id * 997 % 1000)::VARCHAR, 3, '0') || '.osc' AS path FROM events""")
+def sequence_paths(spark, sf_dir):
+    return ad.table(spark, sf_dir, "events").select("event_id", sequence_path(F.lit("/r/AAA/BBB/CCC.osc"), F.col("event_id") * 997).alias("path"))
+
+
+_EVENTS = "ev AS (SELECT date_diff('day', DATE '2024-01-01', ts::DATE) AS seq, CASE event_type WHEN 'signup' THEN 'create' WHEN 'error' THEN 'delete' ELSE 'modify' END AS action, user_id AS id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS version FROM events)"
+
+
+@query(f"WITH {_EVENTS} SELECT seq::INTEGER AS seq, action, count(*) AS n, count(DISTINCT id) AS ids, max(version)::BIGINT AS newest FROM ev GROUP BY 1, 2")
+def stream_batches(spark, sf_dir):
+    return ad.change_events(spark, sf_dir).groupBy("seq", "action").agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"), F.max("version").alias("newest"))
+
+
+@query(f"WITH {_EVENTS}, l AS (SELECT * FROM ev WHERE seq <= 10 QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC) = 1) SELECT id, version::BIGINT AS version, action <> 'delete' AS visible FROM l")
+def stream_state(spark, sf_dir):
+    """The newest version of each node after ten days."""
+    e = ad.change_events(spark, sf_dir).where("seq <= 10")
+    rows = e.select("id", F.lit(NODE).alias("type"), "version", F.col("ts").cast("timestamp").alias("timestamp"), (F.col("action") != "delete").alias("visible"), F.lit(0).alias("origin_rank"))
+    return history.latest(rows).select("id", "version", "visible")
+
+
+@query(f"""WITH {_N} SELECT CASE WHEN NOT old THEN 'create' WHEN now AND NOT alive THEN 'delete' ELSE 'modify' END AS action, id FROM n
+    WHERE (NOT old AND (NOT now OR alive)) OR (old AND now)""")
+def snapshot_diff(spark, sf_dir):
+    old = ad.stored_rows(spark, sf_dir).where(F.col("type") == NODE)
+    every = entities(ad.nodes(spark, sf_dir))
+    moved = ad.update_rows(spark, sf_dir).where(F.col("type") == NODE)
+    new = every.join(moved, "id", "left_anti").unionByName(moved)
+    return snapshots.snapshot_changes(old, new).select("action", "id")
+
+
+@query("SELECT p_partkey AS id, 1::BIGINT AS version, p_brand AS brand FROM part WHERE p_partkey % 37 = 0")
+def orc_roundtrip_lookup(spark, sf_dir):
+    tmp = WorkTables(spark, "store")
+    write_store(ad.nodes(spark, sf_dir), f"{tmp.root}/store", "overwrite")
+    want = ad.table(spark, sf_dir, "part").where("p_partkey % 37 = 0").select(keys.partition_number(F.col("p_partkey"), F.lit(NODE)).alias("p"), F.col("p_partkey").alias("id"), F.lit(NODE).alias("type"))
+    return lookup(read_store(spark, f"{tmp.root}/store"), want).select("id", "version", F.col("tags")["brand"].alias("brand"))
+
+
+@query(f"""WITH {_TAGGED}, {_AREA_TABLE}
+    SELECT id, id * 4 AS key, CASE WHEN lower(area) IN ('yes', 'no', 'true', 'false', '1', '0') THEN lower(area) IN ('yes', 'true', '1') ELSE coalesce(NOT list_contains(exceptions, v), false) END AS is_area,
+        coalesce(kind = 'route', false) AS is_route, coalesce(lower(kind) IN ('multipolygon', 'boundary'), false) AS is_polygon FROM t LEFT JOIN areas ON key = k""")
+def sql_functions(spark, sf_dir):
+    registry.register(spark)
+    return _tagged(spark, sf_dir).selectExpr("id", "geo_pack(id, 'node') AS key", "geo_is_area(tags) AS is_area", "geo_is_route(tags) AS is_route", "geo_is_multipolygon(tags) AS is_polygon")
