@@ -22,7 +22,7 @@ def toxic(spark):
         bad = i % 3 == 0
         if bad:
             k = rng.randrange(len(sents))
-            sents[k] += " " + rng.choice(["vile", "Scum,", "rotten"]) + " x"
+            sents[k] += " " + rng.choice(["vile", "Scum,", "rotten"])
         rows.append((i, ". ".join(sents) + ".", int(bad)))
     rows += [(9001, None, 0), (9002, "", 1), (9003, "...", 0), (9004, "ok. " * 40_000, 0)]
     return spark.createDataFrame(rows, "doc_id long, text string, label int").withColumn("score", F.lit("clash"))
