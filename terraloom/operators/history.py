@@ -117,6 +117,12 @@ class Histories:
         """Keyed by (type, id), so that entities of different types with one id stay apart."""
         return self.nodes.unionByName(self.ways).unionByName(self.relations)
 
+    def by_id_alone(self) -> DataFrame:
+        """For compatibility with outputs keyed by id: of a relation, way and node with one id the first of these stays."""
+        rank = F.when(F.col("type") == RELATION, 0).when(F.col("type") == WAY, 1).otherwise(2)
+        every = self.all()
+        return every.groupBy("id").agg(F.min_by(F.struct(*every.columns), rank).alias("h")).select("h.*")
+
 
 def all_histories(rows: DataFrame) -> Histories:
     """Histories of all three types; each level is written once, as the next ones read it repeatedly."""

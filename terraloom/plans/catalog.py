@@ -9,7 +9,7 @@ from ..functions import geo, keys, registry, tags
 from ..geometry import wkb
 from ..operators import augment as aug
 from ..operators import closure, edges, history, render, snapshots
-from ..schema import NODE, RELATION, STORAGE, UPDATE, WAY, entities
+from ..schema import NODE, RELATION, STORAGE, WAY, entities
 from ..scratch import WorkTables
 from ..sources.paths import sequence_path
 from ..sources.store import lookup, read_store, write_store
@@ -331,6 +331,13 @@ def feature_rows(spark, sf_dir):
     return history.features(_histories(spark, sf_dir).all()).select("type", "id", "mode", F.col("row.version").alias("version"), "visible")
 
 
+@query(f"""WITH RECURSIVE {_RFLAGS}, h AS (SELECT 2 AS rank, 'node' AS type, id FROM n WHERE now OR old UNION ALL SELECT 1, 'way', id FROM wh UNION ALL SELECT 0, 'relation', id FROM rh)
+    SELECT id, arg_min(type, rank) AS type FROM h GROUP BY id""")
+def histories_by_id(spark, sf_dir):
+    """The compatible keying, in which entities of different types with one id collapse."""
+    return _histories(spark, sf_dir).by_id_alone().select("id", "type")
+
+
 # --- geometry -----------------------------------------------------------------------------
 
 

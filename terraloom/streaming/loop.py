@@ -90,6 +90,19 @@ class Loop:
                 self.compact(seq)
         return done
 
+    def follow(self, template: str, start: int, checkpoint: str, end: int = -1, interval: str = "1 seconds"):
+        """A streaming query over numbered change files as they appear, in order, a step for each."""
+        from .source import NumberedFiles
+
+        self.spark.dataSource.register(NumberedFiles)
+        numbered = self.spark.readStream.format("numbered_files").options(template=template, start=str(start), end=str(end)).load()
+
+        def batch(df: DataFrame, _: int) -> None:
+            for r in df.orderBy("number").collect():  # one number
+                self.step(r.number, with_retries(lambda p=r.path: WorkTables(self.spark, "file").keep(read_changes(self.spark, p), "rows"), errors=(Exception,)))
+
+        return numbered.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
+
     def stream(self, files: DataFrame, checkpoint: str, first: int = 1):
         """A streaming query over parsed change files (streaming frame of create, modify, delete), a step for each micro-batch."""
 

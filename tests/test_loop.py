@@ -142,6 +142,25 @@ def test_stream_takes_files_one_by_one(spark):
     assert w.shown(2)["node", 1, True]["coordinates"] == [2.0, 2.0] and w.shown(2)["node", 1, False]["coordinates"] == [1.0, 1.0]
 
 
+def test_numbered_files_are_followed(spark):
+    import time
+
+    w = World(spark, BASE)
+    w.file(1, change(modify=node(1, 2, 1, 1)))
+    q = w.loop.follow(w.dir + "/CCC.osc", 1, f"{w.dir}/ck2", end=2)
+    try:
+        until = time.time() + 120
+        while not os.path.exists(f"{w.dir}/root/features/seq=1/_SUCCESS") and time.time() < until and q.isActive:
+            time.sleep(0.5)
+        w.file(2, change(modify=node(1, 3, 2, 2)))
+        while not os.path.exists(f"{w.dir}/root/features/seq=2/_SUCCESS") and time.time() < until and q.isActive:
+            time.sleep(0.5)
+        assert q.exception() is None
+    finally:
+        q.stop()
+    assert w.shown(2)["node", 1, False]["coordinates"] == [1.0, 1.0]
+
+
 def test_change_files(spark):
     w = World(spark)
     p = w.file(9, change(create=way(1, 1, [3, 2, 3], a="b"), modify=relation(2, 2, [("node", 1, "r")]), delete=node(3, 3, 4, 5, k="v")), ".gz")
