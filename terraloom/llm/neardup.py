@@ -6,13 +6,18 @@
    filled after at most 2t rounds, and the share of agreeing coordinates of two sketches is
    an unbiased, concentrated estimate of their Jaccard similarity.
 2. Equal shingle sets form one class (128-bit digest), so copies are never paired.
-3. Sketches are cut into bands; classes that agree on a band share a bucket. Every member
-   of a bucket is checked against the bucket's centre (the smallest seeded hash, another
-   one in every band), never all pairs of a group.
-4. Links are confirmed on the full shingle sets, components are found by alternating
-   large-star / small-star rounds, and all candidate pairs of a bucket that still lie in
-   *different* components are then checked as well. A component is therefore complete
-   with respect to the banding, whatever a bucket's size.
+3. Sketches are cut into bands; classes that agree on a band share a bucket. For the
+   documents of shared buckets the shingles are counted that no other of them has: two
+   documents have at most the other shingles in common, an exact bound that spares most
+   checks among variants of one text that are not close enough to one another. The member
+   with the smallest share of such own shingles, the one most like what the bucket's texts
+   come from, is the bucket's centre, and every member is checked against it, never all
+   pairs of a group; then those left out once more among themselves.
+4. Links are confirmed on the full shingle sets and components found by alternating
+   large-star / small-star rounds. Buckets that still hold several components are then
+   finished by a prefix join of their members' rarest shingles, which finds every link
+   between them, and its pairs are confirmed as well. A component is therefore complete with
+   respect to the banding, whatever a bucket's size.
 
 Null, empty or blank text: an empty set, linked with nothing, a component of its own.
 Null ``doc_id``: the row is returned with null component and ``kept`` false, and takes no
@@ -26,11 +31,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from . import text as tx
 from .components import connected_components
+from .grouping import fold_groups
 from .runtime import Scratch
 
 U64 = np.uint64
@@ -110,6 +117,87 @@ def _sets(p: NearDupParams):
     return run
 
 
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """(rep, own): how many shingles each document has that no other document of sets has."""
+
+    def run(batches):
+        for batch in batches:
+            for i, g in zip(batch.column(0), batch.column(1), strict=True):
+                grams = np.frombuffer(g.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(np.full(len(grams), i.as_py()))], names=["gram", "id"])
+
+    single = sets.mapInArrow(run, "gram long, id long").groupBy("gram").agg(F.count("*").alias("m"), F.min("id").alias("rep")).where("m = 1")
+    return single.groupBy("rep").agg(F.count("*").alias("own"))
+
+
+#: Smallest set size of each size class: one class a size up to 64, then steps of 2%.
+_CLASSES = np.arange(0, 65).tolist()
+while _CLASSES[-1] < 1 << 40:
+    _CLASSES.append(max(_CLASSES[-1] + 1, _CLASSES[-1] * 102 // 100))
+_CLASSES = np.array(_CLASSES)
+
+
+def prefix_keys(grams: np.ndarray, df: np.ndarray, p: NearDupParams) -> tuple[np.ndarray, np.ndarray]:
+    """Join keys of a set as the larger and as the smaller one of a pair.
+
+    Sets of n and m shingles are linked only if they share o = ceil(percent * (n + m) / (100 +
+    percent)); so of their shingles in one order, the rarest first, the first n - o + 1 and
+    m - o + 1 have one in common. m is known by its size class only, hence a key for each
+    such shingle and each pair of size classes. Shingles of no other set need no key.
+    """
+    n = len(grams)
+    order = np.lexsort((grams, df))
+    grams, lone = grams[order].view(U64), int(np.count_nonzero(df == 1))
+    own = int(np.searchsorted(_CLASSES, n, side="right")) - 1
+
+    def keys(lo: int, hi: int, larger: bool) -> np.ndarray:
+        out = [np.empty(0, U64)]
+        for c in range(int(np.searchsorted(_CLASSES, lo, side="right")) - 1, int(np.searchsorted(_CLASSES, hi, side="right"))):
+            least = max(int(_CLASSES[c]), lo)
+            take = n - -(-p.percent * (n + least) // (100 + p.percent)) + 1
+            pair = (own << 20 | c) if larger else (c << 20 | own)
+            out.append(tx.mix64(grams[lone : max(take, lone)] ^ tx.mix64(np.array([pair + 1], U64))))
+        return np.concatenate(out).view(np.int64)
+
+    return keys(-(-n * p.percent // 100), n, True), keys(n, n * 100 // p.percent, False)
+
+
+def _open_pairs(rest: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame:
+    """(a, b): pairs of members of the open buckets, in different components, that may be linked; every link is among them.
+
+    rest: (rep, label, main) of the members. A prefix join on the rarest shingles: variants
+    of one text that have too many shingles of their own don't meet, however many they are.
+    """
+    nodes = rest.groupBy("rep").agg(F.first("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("out"))
+
+    def run(batches):
+        for batch in batches:
+            for i, g in zip(batch.column(0), batch.column(1), strict=True):
+                grams = np.frombuffer(g.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), i.as_py())), pa.array(grams)], names=["id", "gram"])
+
+    flat = sets.join(nodes.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "grams").mapInArrow(run, "id long, gram long").distinct()
+    counted = flat.join(flat.groupBy("gram").agg(F.count("*").alias("df")), "gram").select("id", "gram", "df")
+
+    def fold(state, part):
+        state[0].append(part.column(1).to_numpy())
+        state[1].append(part.column(2).to_numpy())
+        return state
+
+    def finish(i, state):
+        grams = np.concatenate(state[0])
+        larger, smaller = prefix_keys(grams, np.concatenate(state[1]), p)
+        return i, len(grams), larger.tolist(), smaller.tolist()
+
+    schema = StructType([StructField("rep", LongType()), StructField("n", LongType()), StructField("larger", ArrayType(LongType())), StructField("smaller", ArrayType(LongType()))])
+    keyed = fold_groups(counted, "id", lambda: ([], []), fold, finish, schema, flush=500).join(nodes, "rep")
+    x = keyed.select(F.explode("larger").alias("key"), F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"), F.col("out").alias("ox"))
+    y = keyed.select(F.explode("smaller").alias("key"), F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"), F.col("out").alias("oy"))
+    once = (F.col("nx") > F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
+    met = x.join(y, "key").where((F.col("lx") != F.col("ly")) & once & (F.col("ox") | F.col("oy")))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _confirm(p: NearDupParams):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -140,46 +228,65 @@ def near_duplicates(docs: DataFrame, p: NearDupParams = NearDupParams(), id_col:
     classes = tmp.write(linked.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")), "classes")
     reps = linked.join(classes.select("s1", "s2", "rep"), ["s1", "s2"]).where("doc_id = rep")
     band = reps.select(F.explode("bands").alias("key"), "rep", F.col("n_shingles").alias("n"))
-    band = band.withColumn("h", F.xxhash64("key", "rep"))
-    shared = band.groupBy("key").agg(F.min("h").alias("h0"), F.count("*").alias("m")).where("m > 1")
-    members = tmp.write(band.join(shared, "key").select("key", "rep", "n", (F.col("h") == F.col("h0")).alias("centre")), "members")
+    shared = band.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    buckets = tmp.write(band.join(shared, "key", "left_semi"), "buckets")
+
+    wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
+    sets = tmp.write(src.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(p), "id long, grams binary"), "sets", "lz4")
+    members = tmp.write(buckets.join(_own_shingles(sets), "rep", "left").select("key", "rep", "n", F.coalesce("own", F.lit(0)).alias("own")), "members")
+    tmp.drop("buckets")
+
+    def possible(x: str, y: str) -> Column:
+        """Whether two documents can be linked: they can't share shingles that one of them has alone."""
+        most = F.least(F.col(f"n{x}") - F.col(f"o{x}"), F.col(f"n{y}") - F.col(f"o{y}"))
+        return most * 100 >= (F.col(f"n{x}") + F.col(f"n{y}") - most) * p.percent
 
-    def sized(a: str, b: str):
-        return F.least(a, b) * 100 >= F.greatest(a, b) * p.percent
+    def side(df: DataFrame, x: str, *more: str) -> DataFrame:
+        return df.select("key", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("own").alias(f"o{x}"), *more)
 
     def ordered(df: DataFrame) -> DataFrame:
         return df.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
-    centres = members.where("centre").select("key", F.col("rep").alias("x"), F.col("n").alias("nx"))
-    stars = members.where("NOT centre").select("key", F.col("rep").alias("y"), F.col("n").alias("ny")).join(centres, "key")
-    pairs = tmp.write(ordered(stars.where(sized("nx", "ny") & (F.col("x") != F.col("y")))), "stars")
+    def stars(of: DataFrame) -> DataFrame:
+        """Pairs of each bucket's centre and its other members; the centre has the smallest share of own shingles."""
+        rank = F.floor(F.col("own") * (1 << 20) / F.col("n")) * (1 << 40) + F.pmod(F.xxhash64("rep"), F.lit(1 << 40))
+        ranked = of.withColumn("rank", rank)
+        least = ranked.groupBy("key").agg(F.min("rank").alias("rank"))
+        centre = side(ranked.join(least, ["key", "rank"], "left_semi"), "x")
+        return ordered(side(of, "y").join(centre, "key").where((F.col("x") != F.col("y")) & possible("x", "y")))
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = src.join(wanted, "doc_id", "left_semi")
-        sets = tmp.write(texts.mapInArrow(_sets(p), "id long, grams binary"), f"{name}-sets")
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
-        links = tmp.write(both.select("a", "b", "ga", "gb").mapInArrow(_confirm(p), "a long, b long").distinct(), name)
-        tmp.drop(f"{name}-sets")
-        return links
-
-    links = confirmed(pairs, "links1")
-    labels = connected_components(links, tmp, "cc1")
-
-    # What the stars left open: candidates of one bucket in different components. Only the
-    # members outside the centre's component need partners, so a bucket that the star has
-    # joined costs nothing, and one outsider in a bucket of m costs m checks.
-    own = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    open_keys = own.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.when(F.col("centre"), F.col("label"))).alias("main")).where("lo <> hi").select("key", "main")
-    rest = tmp.write(own.join(open_keys, "key").select("key", "rep", "n", "label", "main"), "rest")
-    x = rest.where("label <> main").select("key", "main", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
-    y = rest.select("key", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"))
-    once = (F.col("ly") == F.col("main")) | (F.col("x") < F.col("y"))
-    cross = x.join(y, "key").where((F.col("lx") != F.col("ly")) & once & sized("nx", "ny"))
-    more = tmp.write(ordered(cross).join(pairs, ["a", "b"], "left_anti"), "cross")
-    tmp.drop("members", "rest")
-    links = links.unionByName(confirmed(more, "links2"))
-    labels = connected_components(links, tmp, "cc2")
+        return tmp.write(both.select("a", "b", "ga", "gb").mapInArrow(_confirm(p), "a long, b long").distinct(), name)
+
+    def labelled(labels: DataFrame, name: str) -> DataFrame:
+        """Members of the buckets that still hold several components, with their label and that of the bucket's largest one by id."""
+        own = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        size = own.groupBy("key", "label").agg(F.count("*").alias("m"))
+        main = size.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("label", F.struct("m", "label")).alias("main")).where("parts > 1").select("key", "main")
+        return tmp.write(own.join(main, "key").select("key", "rep", "n", "own", "label", "main"), name)
+
+    def joined(labels: DataFrame | None, pairs: DataFrame, name: str) -> DataFrame:
+        """Labels after the confirmed ones of pairs are added: old components count as one edge for each node."""
+        links = confirmed(pairs, f"links-{name}")
+        if labels is not None:
+            if not links.limit(1).count():
+                return labels
+            links = links.unionAll(labels.where("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b")))
+        return connected_components(links, tmp, f"cc-{name}")
+
+    checked = tmp.write(stars(members), "stars-1")
+    labels = joined(None, checked, "1")
+    rest = labelled(labels, "rest-1")
+    # Once more among those that a bucket's first star has left out.
+    again = tmp.write(stars(rest.where("label <> main")).join(checked, ["a", "b"], "left_anti"), "stars-2")
+    checked = checked.unionByName(again)
+    labels = joined(labels, again, "2")
+    rest = labelled(labels, "rest-2")
+    # What the stars left open: links between components of one bucket, found exactly.
+    last = tmp.write(_open_pairs(rest, sets, p).join(checked, ["a", "b"], "left_anti"), "open")
+    labels = joined(labels, last, "3")
+    tmp.drop("members", "rest-1", "rest-2", "sets")
 
     final = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("s1", "s2", F.coalesce("label", "rep").alias("label"))
     out = sig.select("doc_id", "n_shingles", "s1", "s2").join(final, ["s1", "s2"], "left")
