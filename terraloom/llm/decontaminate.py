@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from . import text as tx
-from .runtime import Scratch
+from .runtime import Scratch, by_ids
 from .toxicity import GAP
 
 
@@ -139,5 +139,5 @@ def contained_items(docs: DataFrame, items: DataFrame, p: ContainmentParams = Co
 def without_contaminated(docs: DataFrame, items: DataFrame, p: ContainmentParams = ContainmentParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the documents that contain a benchmark item; null ids stay."""
     tmp = Scratch(docs.sparkSession, "decontaminate-keep")
-    found = tmp.write(contained_items(docs, items, p, id_col, text_col).select(F.col("doc_id").alias("__id")).where("__id IS NOT NULL").distinct(), "found")
-    return docs.join(found, docs[id_col] == found["__id"], "left_anti")
+    found = tmp.write(contained_items(docs, items, p, id_col, text_col).where("doc_id IS NOT NULL").select("doc_id").distinct(), "found")
+    return by_ids(docs, id_col, found, "left_anti")

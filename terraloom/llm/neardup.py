@@ -38,7 +38,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from . import text as tx
 from .components import connected_components
 from .grouping import fold_groups
-from .runtime import Scratch
+from .runtime import Scratch, by_ids
 
 U64 = np.uint64
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
@@ -231,8 +231,8 @@ def near_duplicates(docs: DataFrame, p: NearDupParams = NearDupParams(), id_col:
     shared = band.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     buckets = tmp.write(band.join(shared, "key", "left_semi"), "buckets")
 
-    wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    sets = tmp.write(src.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(p), "id long, grams binary"), "sets", "lz4")
+    wanted = tmp.write(buckets.select("rep").distinct(), "wanted")
+    sets = tmp.write(by_ids(src, "doc_id", wanted, "left_semi").mapInArrow(_sets(p), "id long, grams binary"), "sets", "lz4")
     members = tmp.write(buckets.join(_own_shingles(sets), "rep", "left").select("key", "rep", "n", F.coalesce("own", F.lit(0)).alias("own")), "members")
     tmp.drop("buckets")
 
@@ -302,10 +302,11 @@ def keep_one(docs: DataFrame, p: NearDupParams, id_col: str = "doc_id", text_col
     spark = docs.sparkSession
     tmp = Scratch(spark, "neardup-keep")
     flat = tmp.write(near_duplicates(docs, p, id_col, text_col).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "verdict")
-    gone = flat.where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("__id"))
-    again = flat.where("doc_id IS NOT NULL AND kept AND n > 1").select(F.col("doc_id").alias("__id"))
-    left = docs.join(gone, docs[id_col] == gone["__id"], "left_anti")
-    once = left.join(again, left[id_col] == again["__id"], "left_anti")
-    twice = left.join(again, left[id_col] == again["__id"], "left_semi")
+    gone = tmp.write(flat.where("doc_id IS NOT NULL AND NOT kept").select("doc_id"), "gone")
+    again = tmp.write(flat.where("doc_id IS NOT NULL AND kept AND n > 1").select("doc_id"), "again")
+    left = by_ids(docs, id_col, gone, "left_anti")
+    if not again.limit(1).count():
+        return left
+    once, twice = by_ids(left, id_col, again, "left_anti"), by_ids(left, id_col, again, "left_semi")
     first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())
     return once.unionByName(twice.withColumn("__rank", F.row_number().over(first)).where("__rank = 1").drop("__rank"))

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,6 +22,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Ids are broadcast up to this many rows (16 MB); beyond, the join is left to Spark.
+BROADCAST_IDS = 1_000_000
+
+
+def by_ids(df: DataFrame, column: str, ids: DataFrame, how: str) -> DataFrame:
+    """df joined (left_semi or left_anti) with a written table of ids, one column; wide rows aren't shuffled for few ids."""
+    ids = ids.toDF("__id")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return df.join(ids, df[column] == ids["__id"], how)
+
+
 class Scratch:
     """A folder of written tables; ``drop`` removes one as soon as no later step reads it."""
 
