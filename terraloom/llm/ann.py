@@ -41,8 +41,8 @@ class AnnParams:
     leaf: int = 256  # vectors of a pivot, about
     most_pivots: int = 4096
     most_leaf: int = 1024  # larger leaves are dealt into parts at random
-    expand: tuple[int, ...] = (48, 96, 160, 160)  # nodes that a query expands in each round
-    beam: int = 600  # nodes that a query remembers
+    expand: tuple[int, ...] = (64, 192, 352, 416)  # nodes that a query expands in each round
+    beam: int = 1200  # nodes that a query remembers
     again: int = 48  # scored again on the original vectors
     top: int = 20
 
