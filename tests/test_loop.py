@@ -35,6 +35,16 @@ def change(**blocks):
     return '<?xml version="1.0"?><osmChange version="0.6">' + "".join(f"<{a}>{b}</{a}>" for a, b in blocks.items()) + "</osmChange>"
 
 
+@pytest.fixture(autouse=True, scope="module")
+def interpreted(spark):
+    """Plans over a handful of rows: compiling them would take most of the time."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.unset("spark.sql.codegen.factoryMode")
+
+
 class World:
     """A loop over files made here; shown(seq): {(type, id, visible): geometry} of a step's features."""
 
