@@ -103,8 +103,8 @@ def geometries(h: Histories) -> DataFrame:
     done = tmp.keep(points.unionByName(lines), "level-0")
     rel = tmp.keep(states(h.relations).select("id", "type", "mode", "row.members", "row.tags"), "relations")
     inner = rel.select("id", "mode", F.posexplode("members").alias("pos", "m")).select("id", "mode", "pos", F.col("m.type").alias("mt"), F.col("m.ref").alias("ref"), F.col("m.role").alias("role"))
-    drawn = None
-    for level in range(DEPTH):  # each level draws all relations anew with what the level before has drawn
+    drawn, nested = None, inner.where(F.col("mt") == RELATION).limit(1).count()
+    for level in range(DEPTH if nested else 1):  # each level draws all relations anew with what the level before has drawn
         parts = done if drawn is None else done.unionByName(drawn)
         at = inner.join(parts.select(F.col("type").alias("mt"), F.col("id").alias("ref"), "mode", "wkb"), ["mt", "ref", "mode"])
         listed = at.groupBy("id", "mode").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("mt").alias("type"), "role", "wkb"))).alias("parts"))
