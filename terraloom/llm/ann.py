@@ -5,10 +5,11 @@ hold is put back at the end. Vectors are scaled by the greatest norm and given o
 coordinate that makes their norms equal, so that cosine neighbours make a graph on which
 inner products can be searched.
 
-Build: every vector joins the leaf of its nearest pivot (pivots: a bounded sample, several
-sets of them) and takes its best neighbours within the leaf; then NN-descent rounds join each
-node with its neighbours and reverse neighbours and compare these, neighbours of neighbours,
-with one another; pairs that improve on a node's list are merged into it.
+Build: every vector joins the leaf of its nearest pivot (several trees of them); leaves that
+are too large are split again by pivots of their own. It takes its best neighbours within the
+leaf; then NN-descent rounds join each node with its neighbours and reverse neighbours and
+compare these, neighbours of neighbours, with one another; pairs that improve on a node's list
+are merged into it. The rounds go on until hardly any entry of the lists changes.
 Search: each query starts from its own node and in every round expands the best nodes it has
 not expanded yet, by a join with the neighbour lists (which hold the neighbours' vectors).
 What it found best is scored again in double precision on the original vectors.
@@ -36,11 +37,13 @@ from .runtime import Scratch
 class AnnParams:
     neighbours: int = 32  # of a node in the graph
     sampled: int = 16  # neighbours, and reverse neighbours, joined in a round
-    rounds: int = 2
-    trees: int = 2  # sets of pivots
+    settled: float = 0.01  # rounds end when a smaller share of the lists' entries changed in one
+    trees: int = 3  # sets of pivots
     leaf: int = 256  # vectors of a pivot, about
-    most_pivots: int = 4096
-    most_leaf: int = 1024  # larger leaves are dealt into parts at random
+    most_pivots: int = 4096  # of one leaf
+    level_pivots: int = 65536  # of all leaves that are split at once
+    most_leaf: int = 1024  # larger leaves are split
+    stuck: int = 6  # leaves that so many splits left too large are dealt into parts at random
     expand: tuple[int, ...] = (64, 192, 352, 416)  # nodes that a query expands in each round
     beam: int = 1200  # nodes that a query remembers
     again: int = 48  # scored again on the original vectors
@@ -48,6 +51,7 @@ class AnnParams:
 
 
 _LIST = StructType([StructField("id", LongType()), StructField("nb", BinaryType()), StructField("sim", BinaryType())])
+_GRAPH = StructType([*_LIST.fields, StructField("changed", LongType())])
 
 
 def _best(ids: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -81,36 +85,75 @@ def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
 
 
 def _merge_lists(df: DataFrame, k: int) -> DataFrame:
-    """(id, nb, sim) rows, several for an id, as one list of the k best."""
+    """(id, nb, sim, old) rows, several for an id, as one list of the k best; changed: how many of them no old row has."""
 
     def fold(state, part):
+        old = [_longs(x) for x, y in zip(part.column(1), part.column(3), strict=True) if y.as_py()]
         ids = np.concatenate([state[0], *map(_longs, part.column(1))])
         sims = np.concatenate([state[1], *map(_floats, part.column(2))])
-        return _best(ids, sims, k)
+        return *_best(ids, sims, k), np.concatenate([state[2], *old])
 
-    return fold_groups(df, "id", lambda: (np.empty(0, np.int64), np.empty(0, np.float32)), fold, lambda i, s: (i, s[0].tobytes(), s[1].tobytes()), _LIST)
+    def finish(i, s):
+        return i, s[0].tobytes(), s[1].tobytes(), int((~np.isin(s[0], s[2])).sum())
 
+    return fold_groups(df, "id", lambda: (np.empty(0, np.int64), np.empty(0, np.float32), np.empty(0, np.int64)), fold, finish, _GRAPH)
 
-def _leaves(nodes: DataFrame, tmp: Scratch, p: AnnParams, dim: int) -> DataFrame:
-    """First lists: the best neighbours within each leaf of each set of pivots."""
-    n = nodes.count()
-    pivots = max(1, min(p.most_pivots, n // p.leaf))
-    picked = nodes.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(pivots * p.trees).select("vec").collect()
-    p_all = np.stack([np.frombuffer(r.vec, np.float16).astype(np.float32) for r in picked])
-    sets = [p_all[t :: p.trees] for t in range(p.trees) if len(p_all[t :: p.trees])]
 
-    def assign(batches):
-        for batch in batches:
-            if batch.num_rows:
-                x = _halves(batch.column(1), batch.num_rows)
-                for t, c in enumerate(sets):
-                    leaf = np.concatenate([np.argmax(x[a : a + 2048] @ c.T, axis=1) for a in range(0, len(x), 2048)])
-                    yield pa.RecordBatch.from_arrays([pa.array(leaf + t * p.most_pivots, pa.int64()), *batch.columns], names=["leaf", "id", "vec"])
-
-    dealt = tmp.write(nodes.select("id", "vec").mapInArrow(assign, "leaf long, id long, vec binary"), "leaves", "lz4")
-    parts = dealt.groupBy("leaf").agg(F.ceil(F.count("*") / p.most_leaf).alias("parts"))
-    dealt = dealt.join(F.broadcast(parts), "leaf")  # at most trees * most_pivots rows
-    dealt = dealt.select((F.col("leaf") * (1 << 32) + F.pmod(F.xxhash64("id", F.lit(5)), F.col("parts"))).alias("leaf"), "id", "vec")
+def _leaves(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
+    """First lists: the best neighbours within each leaf of each set of pivots."""
+    dealt = nodes.select(F.explode(F.array(*[F.lit(t).cast("long") for t in range(p.trees)])).alias("leaf"), "id", "vec")
+    name, following, tries = "", p.trees, {}
+    while True:
+        # At most n / most_leaf leaves are too large; those that are split at once have level_pivots together.
+        large = dealt.groupBy("leaf").count().where(F.col("count") > p.most_leaf).orderBy(F.desc("count"), "leaf").limit(p.level_pivots // 2).collect()
+        large = [(r.leaf, r["count"]) for r in large if tries.get(r.leaf, 0) < p.stuck]
+        wanted, total = {}, 0
+        for leaf, n in large:
+            k = min(p.most_pivots, -(-n // p.leaf))
+            if total + k <= p.level_pivots:
+                wanted[leaf], total = k / n, total + k
+        if not wanted:
+            break
+        share = nodes.sparkSession.createDataFrame(list(wanted.items()), "leaf long, share double")
+        chance = F.pmod(F.xxhash64("id", "leaf", F.lit(following)), F.lit(1 << 30)) / float(1 << 30)
+        found: dict = {}
+        for r in dealt.join(F.broadcast(share), "leaf").where(chance < F.col("share")).orderBy("leaf", "id").select("leaf", "vec").collect():
+            found.setdefault(r.leaf, []).append(np.frombuffer(r.vec, np.float16))
+        split = {}
+        for leaf in wanted:
+            tries[leaf] = tries.get(leaf, 0) + 1
+            if len(found.get(leaf, [])) > 1:
+                c = np.stack(found[leaf]).astype(float)
+                middle = c.mean(axis=0)
+                c -= middle
+                split[leaf] = (following, middle, c.T, (c * c).sum(axis=1) / 2)
+                tries.update(dict.fromkeys(range(following, following + len(c)), tries[leaf]))
+                following += len(c)
+        share_out = nodes.sparkSession.sparkContext.broadcast(split)
+
+        def assign(batches, share_out=share_out):
+            split = share_out.value
+            for batch in batches:
+                if batch.num_rows:
+                    leaf = batch.column(0).to_numpy().copy()
+                    x = _halves(batch.column(2), batch.num_rows)
+                    for one in np.unique(leaf):
+                        if one in split:
+                            first, middle, c, half = split[one]
+                            at = np.flatnonzero(batch.column(0).to_numpy() == one)
+                            for k in range(0, len(at), 2048):
+                                some = at[k : k + 2048]
+                                leaf[some] = first + np.argmax((x[some] - middle) @ c - half, axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), *batch.columns[1:]], names=["leaf", "id", "vec"])
+
+        before, name = name, f"leaves-{following}"
+        dealt = tmp.write(dealt.mapInArrow(assign, "leaf long, id long, vec binary"), name, "lz4")
+        if before:
+            tmp.drop(before)
+        share_out.unpersist()
+    parts = dealt.groupBy("leaf").agg(F.ceil(F.count("*") / p.most_leaf).alias("parts")).where("parts > 1")
+    dealt = dealt.join(F.broadcast(parts), "leaf", "left")
+    dealt = dealt.select((F.col("leaf") * (1 << 32) + F.pmod(F.xxhash64("id", F.lit(5)), F.coalesce("parts", F.lit(1)))).alias("leaf"), "id", "vec")
     schema = _LIST
 
     def run(batches):
@@ -139,7 +182,7 @@ def _leaves(nodes: DataFrame, tmp: Scratch, p: AnnParams, dim: int) -> DataFrame
         if ids:
             yield lists(ids, vecs)
 
-    return _merge_lists(dealt.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(run, schema), p.neighbours)
+    return _merge_lists(dealt.repartition("leaf").sortWithinPartitions("leaf").mapInArrow(run, schema).withColumn("old", F.lit(False)), p.neighbours)
 
 
 def _edges(graph: DataFrame, most: int) -> DataFrame:
@@ -206,17 +249,21 @@ def _descend(graph: DataFrame, nodes: DataFrame, p: AnnParams, salt: int) -> Dat
             yield packed(list(local(left.column(1).to_numpy(), _halves(left.column(2), left.num_rows), left.column(3).to_numpy())))
 
     found = members.repartition("id").sortWithinPartitions("id").mapInArrow(run, _LIST)
-    return _merge_lists(graph.unionByName(found), p.neighbours)
+    graph = graph.select("id", "nb", "sim").withColumn("old", F.lit(True))
+    return _merge_lists(graph.unionByName(found.withColumn("old", F.lit(False))), p.neighbours)
 
 
-def build_graph(nodes: DataFrame, tmp: Scratch, p: AnnParams, dim: int) -> DataFrame:
+def build_graph(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
     """(id, nb, sim): the neighbour list of each node of nodes (id, vec)."""
-    graph = tmp.write(_leaves(nodes, tmp, p, dim), "graph-0", "lz4")
+    graph, k = tmp.write(_leaves(nodes, tmp, p), "graph-0", "lz4"), 0
     tmp.drop("leaves")
-    for k in range(1, p.rounds + 1):
+    while True:  # sums of similarities only grow, so this ends
+        k += 1
         graph = tmp.write(_descend(graph, nodes, p, k), f"graph-{k}", "lz4")
         tmp.drop(f"graph-{k - 1}")
-    return graph
+        changed, entries = graph.select(F.sum("changed"), F.sum(F.length("nb") / 8)).first()
+        if (changed or 0) <= p.settled * (entries or 0):
+            return graph
 
 
 _LISTS = StructType([StructField("id", LongType()), StructField("nb", BinaryType()), StructField("vecs", BinaryType())])
@@ -326,7 +373,7 @@ def nearest(vectors: DataFrame, every: int, p: AnnParams = AnnParams(), id_col:
     nodes = tmp.write(reps.mapInArrow(scaled, "id long, vec binary, raw binary"), "nodes", "lz4")
     asked = members.where(F.pmod("vec_id", F.lit(every)) == 0)
     queries = tmp.write(nodes.join(asked.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("q"), "raw"), "queries", "lz4")
-    graph = build_graph(nodes, tmp, p, dim)
+    graph = build_graph(nodes, tmp, p)
     pairs = search(queries, graph, nodes, tmp, p)
 
     product = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)

@@ -178,3 +178,27 @@ def test_few_or_no_vectors(spark):
     assert got == want
     assert ann.nearest(df.limit(0), 2).count() == 0
     assert ann.nearest(df.limit(1), 2).count() == 0
+
+
+def recall_of(df, rows, every, p=ann.AnnParams()):
+    got: dict = {}
+    for r in ann.nearest(df, every, p).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    ids = np.array([i for i, _ in rows])
+    x = np.array([v for _, v in rows], float)
+    hits = []
+    for i, v in rows:
+        if i % every == 0:
+            s = x @ np.array(v, float)
+            s[ids == i] = -np.inf
+            hits.append(len(set(got[i]) & set(ids[np.lexsort((ids, -s))[: p.top]].tolist())) / p.top)
+    return np.array(hits)
+
+
+def test_the_graph_is_built_until_it_settles(spark):
+    x = np.random.default_rng(5).normal(size=(4000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    p = ann.AnnParams(neighbours=24, sampled=8, leaf=24, most_pivots=32, most_leaf=48, expand=(16, 48, 64), beam=300)
+    assert recall_of(df, rows, 40, p).mean() >= 0.9
