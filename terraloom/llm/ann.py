@@ -1,18 +1,21 @@
 """Approximate nearest neighbours by inner product: an NN-descent graph and greedy search.
 
 Equal vectors form one node of the graph; the (bounded) number of copies that an answer can
-hold is put back at the end. Vectors are scaled by the greatest norm and given one more
-coordinate that makes their norms equal, so that cosine neighbours make a graph on which
-inner products can be searched.
+hold is put back at the end. Vectors are split into ranges of norms (a factor of two each), scaled
+within their range and given one more coordinate that makes their norms equal, so that cosine
+neighbours make a graph for each range on which inner products can be searched. Node vectors
+are in single precision, products and sums in double.
 
 Build: every vector joins the leaf of its nearest pivot (several trees of them); leaves that
 are too large are split again by pivots of their own. It takes its best neighbours within the
 leaf; then NN-descent rounds join each node with its neighbours and reverse neighbours and
 compare these, neighbours of neighbours, with one another; pairs that improve on a node's list
 are merged into it. The rounds go on until hardly any entry of the lists changes.
-Search: each query starts from its own node and in every round expands the best nodes it has
+Search: each query starts from its own node and, if there are several ranges, from the best of
+a bounded sample of each, and in every round expands the best nodes it has
 not expanded yet, by a join with the neighbour lists (which hold the neighbours' vectors).
-What it found best is scored again in double precision on the original vectors.
+All that it remembers and that rounding could have kept from the answer is scored again in
+double precision on the original vectors.
 
 Vectors that are null, empty, zero or hold null or non-finite components take no part, nor
 do those whose length is not the most frequent one, or whose id is null. All steps are joins
@@ -27,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, FloatType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
 from .grouping import fold_groups
 from .runtime import Scratch
@@ -46,10 +49,15 @@ class AnnParams:
     stuck: int = 6  # leaves that so many splits left too large are dealt into parts at random
     expand: tuple[int, ...] = (64, 192, 352, 416)  # nodes that a query expands in each round
     beam: int = 1200  # nodes that a query remembers
-    again: int = 48  # scored again on the original vectors
+    rounding: float = 2.0**-22  # of a score before it is made again on the original vectors, where products are below 1
+    entries: int = 256  # sampled nodes of a range of norms
+    starts: int = 8  # of these, where a query starts
     top: int = 20
 
 
+#: Ranges of norms are numbered by their power of two; smaller norms are in the first range.
+LEAST_PART = -500
+
 _LIST = StructType([StructField("id", LongType()), StructField("nb", BinaryType()), StructField("sim", BinaryType())])
 _GRAPH = StructType([*_LIST.fields, StructField("changed", LongType())])
 
@@ -67,12 +75,12 @@ def _longs(x) -> np.ndarray:
     return np.frombuffer(x.as_buffer(), np.int64)
 
 
-def _floats(x) -> np.ndarray:
-    return np.frombuffer(x.as_buffer(), np.float32)
+def _doubles(x) -> np.ndarray:
+    return np.frombuffer(x.as_buffer(), np.float64)
 
 
-def _halves(col, n: int) -> np.ndarray:
-    return np.frombuffer(b"".join(v.as_buffer() for v in col), np.float16).reshape(n, -1).astype(np.float32)
+def _vectors(col, n: int) -> np.ndarray:
+    return np.frombuffer(b"".join(v.as_buffer() for v in col), np.float32).reshape(n, -1).astype(float)
 
 
 def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -90,19 +98,20 @@ def _merge_lists(df: DataFrame, k: int) -> DataFrame:
     def fold(state, part):
         old = [_longs(x) for x, y in zip(part.column(1), part.column(3), strict=True) if y.as_py()]
         ids = np.concatenate([state[0], *map(_longs, part.column(1))])
-        sims = np.concatenate([state[1], *map(_floats, part.column(2))])
+        sims = np.concatenate([state[1], *map(_doubles, part.column(2))])
         return *_best(ids, sims, k), np.concatenate([state[2], *old])
 
     def finish(i, s):
         return i, s[0].tobytes(), s[1].tobytes(), int((~np.isin(s[0], s[2])).sum())
 
-    return fold_groups(df, "id", lambda: (np.empty(0, np.int64), np.empty(0, np.float32), np.empty(0, np.int64)), fold, finish, _GRAPH)
+    return fold_groups(df, "id", lambda: (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)), fold, finish, _GRAPH)
 
 
 def _leaves(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
     """First lists: the best neighbours within each leaf of each set of pivots."""
-    dealt = nodes.select(F.explode(F.array(*[F.lit(t).cast("long") for t in range(p.trees)])).alias("leaf"), "id", "vec")
-    name, following, tries = "", p.trees, {}
+    trees = F.explode(F.array(*[F.lit(t).cast("long") for t in range(p.trees)]))
+    dealt = nodes.select("part", trees.alias("tree"), "id", "vec").select((p.trees * (F.col("part") - LEAST_PART) + F.col("tree")).alias("leaf"), "id", "vec")
+    name, following, tries = "", p.trees << 12, {}
     while True:
         # At most n / most_leaf leaves are too large; those that are split at once have level_pivots together.
         large = dealt.groupBy("leaf").count().where(F.col("count") > p.most_leaf).orderBy(F.desc("count"), "leaf").limit(p.level_pivots // 2).collect()
@@ -118,7 +127,7 @@ def _leaves(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
         chance = F.pmod(F.xxhash64("id", "leaf", F.lit(following)), F.lit(1 << 30)) / float(1 << 30)
         found: dict = {}
         for r in dealt.join(F.broadcast(share), "leaf").where(chance < F.col("share")).orderBy("leaf", "id").select("leaf", "vec").collect():
-            found.setdefault(r.leaf, []).append(np.frombuffer(r.vec, np.float16))
+            found.setdefault(r.leaf, []).append(np.frombuffer(r.vec, np.float32))
         split = {}
         for leaf in wanted:
             tries[leaf] = tries.get(leaf, 0) + 1
@@ -136,7 +145,7 @@ def _leaves(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
             for batch in batches:
                 if batch.num_rows:
                     leaf = batch.column(0).to_numpy().copy()
-                    x = _halves(batch.column(2), batch.num_rows)
+                    x = _vectors(batch.column(2), batch.num_rows)
                     for one in np.unique(leaf):
                         if one in split:
                             first, middle, c, half = split[one]
@@ -159,7 +168,7 @@ def _leaves(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
     def run(batches):
         def lists(ids, vecs):
             ids = np.array(ids, np.int64)
-            x = np.stack(vecs).astype(np.float32)
+            x = np.stack(vecs).astype(float)
             s = x @ x.T
             np.fill_diagonal(s, -np.inf)
             k = min(p.neighbours, len(ids) - 1)
@@ -167,7 +176,7 @@ def _leaves(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
                 best = np.zeros((len(ids), 0), int)
             else:
                 best = np.argpartition(-s, k - 1, axis=1)[:, :k]
-            nb, sim = ids[best], np.take_along_axis(s, best, 1).astype(np.float32)
+            nb, sim = ids[best], np.take_along_axis(s, best, 1)
             return pa.RecordBatch.from_arrays([pa.array(ids), pa.array([r.tobytes() for r in nb], pa.binary()), pa.array([r.tobytes() for r in sim], pa.binary())], names=schema.names)
 
         now, ids, vecs = None, [], []
@@ -178,7 +187,7 @@ def _leaves(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
                         yield lists(ids, vecs)
                     now, ids, vecs = leaf, [], []
                 ids.append(i)
-                vecs.append(np.frombuffer(v.as_py(), np.float16))
+                vecs.append(np.frombuffer(v.as_py(), np.float32))
         if ids:
             yield lists(ids, vecs)
 
@@ -211,10 +220,10 @@ def _descend(graph: DataFrame, nodes: DataFrame, p: AnnParams, salt: int) -> Dat
 
     def worst(batches):
         for batch in batches:
-            thr = [float(s.min()) if len(s := _floats(x)) >= p.neighbours else -2.0 for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(thr, pa.float32())], names=["id", "thr"])
+            thr = [float(s.min()) if len(s := _doubles(x)) >= p.neighbours else -2.0 for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(thr, pa.float64())], names=["id", "thr"])
 
-    known = nodes.select("id", "vec").join(graph.select("id", "sim").mapInArrow(worst, StructType([StructField("id", LongType()), StructField("thr", FloatType())])), "id")
+    known = nodes.select("id", "vec").join(graph.select("id", "sim").mapInArrow(worst, StructType([StructField("id", LongType()), StructField("thr", DoubleType())])), "id")
     members = _around(graph, p.sampled, p.sampled, salt)
     members = members.unionAll(members.select("id", F.col("id").alias("nb")).distinct())
     members = members.join(known.withColumnRenamed("id", "nb"), "nb").select("id", "nb", "vec", "thr")
@@ -225,7 +234,7 @@ def _descend(graph: DataFrame, nodes: DataFrame, p: AnnParams, salt: int) -> Dat
             np.fill_diagonal(s, -np.inf)
             for i in np.flatnonzero((s > thr[:, None]).any(axis=1)):
                 j = np.flatnonzero(s[i] > thr[i])
-                yield ids[i], ids[j].tobytes(), s[i, j].astype(np.float32).tobytes()
+                yield ids[i], ids[j].tobytes(), s[i, j].tobytes()
 
         def packed(out):
             cols = list(zip(*out, strict=True)) or [[], [], []]
@@ -239,14 +248,14 @@ def _descend(graph: DataFrame, nodes: DataFrame, p: AnnParams, salt: int) -> Dat
                 continue
             v = batch.column(0).to_numpy()
             edge = np.append(np.flatnonzero(np.append(True, v[1:] != v[:-1])), len(v))
-            ids, x, thr = batch.column(1).to_numpy(), _halves(batch.column(2), len(v)), batch.column(3).to_numpy()
+            ids, x, thr = batch.column(1).to_numpy(), _vectors(batch.column(2), len(v)), batch.column(3).to_numpy()
             out = []
             for a, b in zip(edge[:-2], edge[1:-1], strict=True):
                 out.extend(local(ids[a:b], x[a:b], thr[a:b]))
             yield packed(out)
             left = batch.slice(edge[-2])
         if left is not None:
-            yield packed(list(local(left.column(1).to_numpy(), _halves(left.column(2), left.num_rows), left.column(3).to_numpy())))
+            yield packed(list(local(left.column(1).to_numpy(), _vectors(left.column(2), left.num_rows), left.column(3).to_numpy())))
 
     found = members.repartition("id").sortWithinPartitions("id").mapInArrow(run, _LIST)
     graph = graph.select("id", "nb", "sim").withColumn("old", F.lit(True))
@@ -272,35 +281,67 @@ _STATE = StructType([StructField("q", LongType()), StructField("ids", BinaryType
 
 def _with_vectors(graph: DataFrame, nodes: DataFrame, p: AnnParams) -> DataFrame:
     """(id, nb, vecs): each node's neighbours, both ways, with their vectors."""
-    near = _around(graph, p.neighbours, p.neighbours, 99).join(nodes.select(F.col("id").alias("nb"), "vec"), "nb").select("id", "nb", "vec")
+    near = _around(graph, p.neighbours, p.neighbours, 99).join(nodes.select(F.col("id").alias("nb"), "raw"), "nb").select("id", "nb", "raw")
 
     def fold(state, part):
         state[0].extend(part.column(1).to_pylist())
         state[1].extend(part.column(2).to_pylist())
         return state
 
-    return fold_groups(near, "id", lambda: ([], []), fold, lambda i, s: (i, np.array(s[0], np.int64).tobytes(), b"".join(s[1])), _LISTS, flush=500)
+    def cut(batches):  # into rows of 16 neighbours, so that batches of joined rows stay small
+        for batch in batches:
+            out = []
+            for i, nb, vecs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n = len(nb) // 8
+                wide = len(vecs) // n
+                out.extend((i, nb[8 * a : 8 * (a + 16)], vecs[wide * a : wide * (a + 16)]) for a in range(0, n, 16))
+            cols = list(zip(*out, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=_LISTS.names)
+
+    whole = fold_groups(near, "id", lambda: ([], []), fold, lambda i, s: (i, np.array(s[0], np.int64).tobytes(), b"".join(s[1])), _LISTS, flush=500)
+    return whole.mapInArrow(cut, _LISTS)
 
 
 def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
-    """(q, id): the ``again`` best nodes that each query (q, vec; q a node) found, itself included."""
+    """(q, id): the nodes that may be among the best that each query (q, raw; q a node) found, itself included."""
     lists = tmp.write(_with_vectors(graph, nodes, p), "lists", "lz4")
+    order = Window.partitionBy("part").orderBy(F.xxhash64("id", F.lit(7)), "id")
+    entries = nodes.select("part", "id", "raw").withColumn("k", F.row_number().over(order)).where(F.col("k") <= p.entries) if nodes.select("part").distinct().count() > 1 else None
+    at: dict = {}
+    for r in entries.orderBy("part", "id").collect() if entries is not None else []:  # at most entries of each power of two
+        at.setdefault(r.part, ([], []))[0].append(r.id)
+        at[r.part][1].append(np.frombuffer(r.raw, np.float32))
+    ranges = [(np.array(i, np.int64), np.stack(v).astype(float).T) for i, v in at.values()]
 
     def begin(batches):
         for batch in batches:
             n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.array([i]).tobytes() for i in batch.column(0).to_numpy()], pa.binary()), pa.array([np.array([4], np.float32).tobytes()] * n, pa.binary()), pa.array([b"\0"] * n, pa.binary())], names=_STATE.names)
-
-    state = queries.select("q").mapInArrow(begin, _STATE)
+            if not n:
+                continue
+            x, q, out = _vectors(batch.column(1), n), batch.column(0).to_numpy(), []
+            first = [(i, x @ c) for i, c in ranges]
+            for r in range(n):
+                ids, scores = [np.array([q[r]])], [np.array([4.0])]
+                for i, s in first:
+                    best = np.argsort(-s[r])[: p.starts]
+                    best = best[i[best] != q[r]]
+                    ids.append(i[best])
+                    scores.append(s[r][best])
+                i, s = _best(np.concatenate(ids), np.concatenate(scores), p.beam)
+                out.append((int(q[r]), i.tobytes(), s.tobytes(), bytes(len(i))))
+            cols = list(zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=_STATE.names)
+
+    state = tmp.write(queries.select("q", "raw").mapInArrow(begin, _STATE), "state-begun", "lz4")
     for k, width in enumerate(p.expand):
 
         def frontier(batches, width=width):
             for batch in batches:
                 for q, ids, scores, done in zip(*batch.columns, strict=True):
                     at = np.flatnonzero(np.frombuffer(done.as_buffer(), np.uint8) == 0)[:width]  # best first
-                    s = _floats(scores)
+                    s = _doubles(scores)
                     worst = float(s[-1]) if len(s) >= p.beam else -4.0
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), q.as_py())), pa.array(_longs(ids)[at]), pa.array(np.full(len(at), worst, np.float32))], names=["q", "id", "worst"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), q.as_py())), pa.array(_longs(ids)[at]), pa.array(np.full(len(at), worst))], names=["q", "id", "worst"])
 
         def expand(batches):
             for batch in batches:
@@ -308,25 +349,25 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, tmp: Scratch,
                 out = []
                 for i in range(batch.num_rows):
                     ids = _longs(nb[i])
-                    x = np.frombuffer(vecs[i].as_buffer(), np.float16).reshape(len(ids), -1).astype(np.float32)
-                    s = x[:, :-1] @ _floats(vec[i])
+                    x = np.frombuffer(vecs[i].as_buffer(), np.float32).reshape(len(ids), -1).astype(float)
+                    s = x @ np.frombuffer(vec[i].as_buffer(), np.float32).astype(float)
                     keep = s > worst[i].as_py()
                     out.append((q[i].as_py(), ids[keep].tobytes(), s[keep].tobytes(), np.array([node[i].as_py()]).tobytes()))
                 cols = list(zip(*out, strict=True)) or [[]] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=_STATE.names)
 
-        ahead = state.mapInArrow(frontier, "q long, id long, worst float").join(queries.select("q", F.col("raw").alias("qv")), "q")
+        ahead = state.mapInArrow(frontier, "q long, id long, worst double").join(queries.select("q", F.col("raw").alias("qv")), "q")
         met = ahead.join(lists, "id").select("q", "id", "worst", "qv", "nb", "vecs").mapInArrow(expand, _STATE)
         both = state.withColumn("old", F.lit(True)).unionByName(met.withColumn("old", F.lit(False)))
 
         def start():
-            return [np.empty(0, np.int64), np.empty(0, np.float32), np.empty(0, np.int64)]
+            return [np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)]
 
         def fold(s, part):
             ids, scores, done = [s[0]], [s[1]], [s[2]]
             for a, b, c, old in zip(*part.columns[1:], strict=True):
                 ids.append(_longs(a))
-                scores.append(_floats(b))
+                scores.append(_doubles(b))
                 done.append(_longs(a)[np.frombuffer(c.as_buffer(), np.uint8) == 1] if old.as_py() else _longs(c))
             return [*_best(np.concatenate(ids), np.concatenate(scores), p.beam), np.concatenate(done)]
 
@@ -339,11 +380,14 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, tmp: Scratch,
 
     def result(batches):
         for batch in batches:
-            lists_ = [_longs(x)[: p.again] for x in batch.column(1)]
+            lists_ = []
+            for ids, scores in zip(batch.column(1), batch.column(2), strict=True):
+                s = _doubles(scores)
+                lists_.append(_longs(ids)[s >= s[min(p.top + 1, len(s) - 1)] - p.rounding])
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), [len(x) for x in lists_])), pa.array(np.concatenate(lists_) if lists_ else np.empty(0, np.int64))], names=["q", "id"])
 
-    found = tmp.write(state.select("q", "ids").mapInArrow(result, "q long, id long"), "found")
-    tmp.drop("lists", f"state-{len(p.expand) - 1}")
+    found = tmp.write(state.select("q", "ids", "scores").mapInArrow(result, "q long, id long"), "found")
+    tmp.drop("lists", "state-begun", f"state-{len(p.expand) - 1}")
     return found.unionAll(queries.select("q", F.col("q").alias("id"))).distinct()
 
 
@@ -357,20 +401,24 @@ def nearest(vectors: DataFrame, every: int, p: AnnParams = AnnParams(), id_col:
     members = tmp.write(rows.select("vec_id", "h1", "h2").join(classes, ["h1", "h2"]).select("id", "vec_id").distinct(), "members")
     reps = rows.join(classes, ["h1", "h2"]).where("vec_id = id").select("id", "v").dropDuplicates(["id"])
     reps = tmp.write(reps, "reps", "lz4")
-    stats = reps.select(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), F.max(F.size("v"))).first()
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    ranged = reps.withColumn("part", F.greatest(F.lit(LEAST_PART), F.floor(F.log2(norm) + 0.5).cast("int")))
+    stats = ranged.select(F.max("part"), F.max(F.size("v"))).first()
     out = "query_id long, rank int, vec_id long, score double"
     if stats[0] is None:
         return spark.createDataFrame([], out)
-    norm, dim = float(np.sqrt(stats[0])), stats[1]
+    most, dim = stats
 
     def scaled(batches):
         for batch in batches:
-            x = np.array(batch.column(1).to_pylist()).reshape(batch.num_rows, dim) / norm
+            v = np.array(batch.column(1).to_pylist()).reshape(batch.num_rows, dim)
+            x = np.ldexp(v, -1 - batch.column(2).to_numpy()[:, None])  # norms below 0.71
             last = np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(axis=1)))
-            full = np.hstack([x, last[:, None]]).astype(np.float16)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in full], pa.binary()), pa.array([r.tobytes() for r in x.astype(np.float32)], pa.binary())], names=["id", "vec", "raw"])
+            full = np.hstack([x, last[:, None]]).astype(np.float32)
+            raw = np.ldexp(v, -1 - most).astype(np.float32)  # by a power of two: vectors of single precision stay as they are
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([r.tobytes() for r in full], pa.binary()), pa.array([r.tobytes() for r in raw], pa.binary())], names=["id", "part", "vec", "raw"])
 
-    nodes = tmp.write(reps.mapInArrow(scaled, "id long, vec binary, raw binary"), "nodes", "lz4")
+    nodes = tmp.write(ranged.mapInArrow(scaled, "id long, part int, vec binary, raw binary"), "nodes", "lz4")
     asked = members.where(F.pmod("vec_id", F.lit(every)) == 0)
     queries = tmp.write(nodes.join(asked.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("q"), "raw"), "queries", "lz4")
     graph = build_graph(nodes, tmp, p)

@@ -202,3 +202,15 @@ def test_the_graph_is_built_until_it_settles(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     p = ann.AnnParams(neighbours=24, sampled=8, leaf=24, most_pivots=32, most_leaf=48, expand=(16, 48, 64), beam=300)
     assert recall_of(df, rows, 40, p).mean() >= 0.9
+
+
+def test_near_copies_and_one_huge_norm(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[:2500] = x[0] + rng.normal(size=(2500, 24)) * 0.0003
+    x[3999] *= 5000
+    x = x.astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    hits = recall_of(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), rows, 40)
+    assert hits.mean() >= 0.95 and hits.min() >= 0.5
