@@ -4,7 +4,8 @@ Every text becomes a vector of surface statistics (lengths, character classes, r
 A Gaussian kernel over the standardised statistics is approximated by random cosine
 features; each partition sums its part of the normal equations, the sums of a bounded
 number of partitions meet on the driver, and the ridge solution's raw scores are made
-probabilities by isotonic regression on labelled rows that the ridge did not see.
+probabilities by isotonic regression, whatever the number of rows: each quarter of the sampled
+rows is scored by a ridge that did not see it, and all of them calibrate the ridge of all rows.
 
 Fitting uses at most ``max_rows`` labelled rows of each label (lowest id hashes); scoring
 reads every text in full. Null and empty texts score like a text without words. Without
@@ -33,6 +34,7 @@ class QualityParams:
     bandwidth: float = 4.0  # of the Gaussian kernel, in standard deviations
     ridge: float = 1e-2
     parts: int = 8  # partitions that sum normal equations
+    folds: int = 4  # each is calibrated by the ridge of the others
     seed: int = 11
 
 
@@ -115,7 +117,7 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _to_statistics(batches):
-    schema = pa.schema([("label", pa.float64()), ("held", pa.bool_()), ("x", pa.list_(pa.float64()))])
+    schema = pa.schema([("label", pa.float64()), ("fold", pa.int64()), ("x", pa.list_(pa.float64()))])
     for batch in batches:
         rows = [statistics(t.as_py()) for t in batch.column(2)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float64()))], schema=schema)
@@ -126,8 +128,8 @@ def fit(docs: DataFrame, labelled: DataFrame, p: QualityParams = QualityParams()
     tmp = Scratch(docs.sparkSession, "quality")
     sample = tmp.write(per_class(labelled, "id", "label", p.max_rows), "sample")
     texts = with_text(sample, docs, 2 * p.max_rows)
-    rows = texts.select(F.col("label").cast("double").alias("label"), (F.pmod(F.xxhash64("id", F.lit(p.seed)), F.lit(4)) == 0).alias("held"), "text")
-    stats = tmp.write(rows.mapInArrow(_to_statistics, "label double, held boolean, x array<double>").repartition(p.parts), "statistics")
+    rows = texts.select(F.col("label").cast("double").alias("label"), F.pmod(F.xxhash64("id", F.lit(p.seed)), F.lit(p.folds)).alias("fold"), "text")
+    stats = tmp.write(rows.mapInArrow(_to_statistics, "label double, fold long, x array<double>").repartition(p.parts), "statistics")
     kinds = {r[0]: r[1] for r in stats.groupBy("label").count().collect()}
     rng = np.random.default_rng(p.seed)
     waves, phase = rng.normal(size=(N_STATS, p.features)) / p.bandwidth, rng.uniform(0, 2 * np.pi, p.features)
@@ -155,19 +157,27 @@ def fit(docs: DataFrame, labelled: DataFrame, p: QualityParams = QualityParams()
                 b += z.T @ (v * (2 * y - 1))
         yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()), pa.array([b.tobytes()], pa.binary())], names=["a", "b"])
 
-    parts = stats.where("NOT held").select("label", "x").mapInArrow(sums, "a binary, b binary").collect()
-    a = sum(np.frombuffer(r.a).reshape(p.features + 1, -1) for r in parts)
-    b = sum(np.frombuffer(r.b) for r in parts)
-    model.weights = np.linalg.solve(a + p.ridge * np.eye(len(b)), b)
-    held = stats.where("held").select("label", "x").toPandas()
-    if held.label.nunique() < 2:
-        held = stats.select("label", "x").toPandas()
-    raw, y = model.lift(np.array(held.x.tolist())) @ model.weights, held.label.to_numpy()
-    if min(kinds.values()) >= 200:
-        model.knots, model.values = _calibrate(raw, y, np.array([weight[k] for k in y]))
-    else:  # too few rows for steps: a straight line between the two labels' means
-        lo, hi = sorted((raw[y == 0].mean(), raw[y == 1].mean()))
-        model.knots, model.values = np.array([lo, max(hi, lo + 1e-9)]), np.array([0.0, 1.0])
+    none = np.zeros((p.features + 1, p.features + 1)), np.zeros(p.features + 1)
+    a, b = (dict.fromkeys(range(p.folds), v) for v in none)
+    for k in range(p.folds):
+        for r in stats.where(F.col("fold") == k).select("label", "x").mapInArrow(sums, "a binary, b binary").collect():
+            a[k] = a[k] + np.frombuffer(r.a).reshape(p.features + 1, -1)
+            b[k] = b[k] + np.frombuffer(r.b)
+
+    def solved(a, b):
+        return np.linalg.solve(a + p.ridge * np.eye(len(b)), b)
+
+    model.weights = solved(sum(a.values()), sum(b.values()))
+    # Each quarter is scored by the ridge of the three others, so that all rows can calibrate.
+    raw, y = [], []
+    for k in range(p.folds):
+        part = stats.where(F.col("fold") == k).select("label", "x").toPandas()
+        if len(part):
+            rest_a, rest_b = (sum(v for j, v in sums_of.items() if j != k) for sums_of in (a, b))
+            raw.append(model.lift(np.array(part.x.tolist())) @ solved(rest_a, rest_b))
+            y.append(part.label.to_numpy())
+    raw, y = np.concatenate(raw), np.concatenate(y)
+    model.knots, model.values = _calibrate(raw, y, np.array([weight[k] for k in y]))
     tmp.drop("sample", "statistics")
     return model
 

@@ -83,6 +83,16 @@ def test_quality(spark, graded):
     assert kept.columns == ["doc_id", "text", "label", "__s"]
 
 
+def test_few_rows_of_a_label_are_calibrated_by_isotonic_regression(spark, graded, monkeypatch):
+    seen = []
+    real = quality.isotonic
+    monkeypatch.setattr(quality, "isotonic", lambda x, y: seen.append(len(y)) or real(x, y))
+    train = graded.where("doc_id < 600 AND (label = 1 OR doc_id % 4 = 0)").select(F.col("doc_id").alias("id"), "label")
+    model = quality.fit(graded, train)
+    assert train.where("label = 0").count() < 200 and seen == [train.count()]
+    assert (np.diff(model.knots) >= 0).all() and (np.diff(model.values) >= 0).all()
+
+
 def test_quality_with_one_label_or_none(spark, graded):
     one = spark.createDataFrame([(1, 1), (2, 1), (None, 0)], "id long, label int")
     assert {r.score for r in quality.score(graded, quality.fit(graded, one)).collect()} == {1.0}
