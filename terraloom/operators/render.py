@@ -3,12 +3,14 @@
 A state of a way is drawn with its vertices as of the same state ("in": the vertex in the
 window if there is one, else the one before; "before": the one before). Relations are drawn
 after their members, level by level of nesting, so a relation of relations finds its parts
-drawn; the number of levels is capped, which ends cycles.
+drawn, however deep it is nested. Relations on a cycle, or above one, have no deepest level:
+when only these are left they are drawn for ``CYCLE_DEPTH`` more levels, with a warning.
 """
 
 from __future__ import annotations
 
 import json
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -23,8 +25,8 @@ from ..schema import NODE, RELATION, WAY
 from ..scratch import WorkTables
 from .history import Histories, features
 
-#: Nesting of relations that is drawn; deeper ones and cycles lack the parts beyond.
-DEPTH = 6
+#: Levels in which relations on or above a cycle are drawn; they lack the parts beyond.
+CYCLE_DEPTH = 6
 
 
 def vertex_states(nodes: DataFrame) -> DataFrame:
@@ -103,13 +105,33 @@ def geometries(h: Histories) -> DataFrame:
     done = tmp.keep(points.unionByName(lines), "level-0")
     rel = tmp.keep(states(h.relations).select("id", "type", "mode", "row.members", "row.tags"), "relations")
     inner = rel.select("id", "mode", F.posexplode("members").alias("pos", "m")).select("id", "mode", "pos", F.col("m.type").alias("mt"), F.col("m.ref").alias("ref"), F.col("m.role").alias("role"))
-    drawn, nested = None, inner.where(F.col("mt") == RELATION).limit(1).count()
-    for level in range(DEPTH if nested else 1):  # each level draws all relations anew with what the level before has drawn
-        parts = done if drawn is None else done.unionByName(drawn)
-        at = inner.join(parts.select(F.col("type").alias("mt"), F.col("id").alias("ref"), "mode", "wkb"), ["mt", "ref", "mode"])
+    # A level draws the relations whose nested relations are all drawn; what then is left leads to a cycle.
+    known = rel.select(F.col("id").alias("ref"), "mode")
+    nested = tmp.keep(inner.where(F.col("mt") == RELATION).select("id", "mode", "ref").distinct().join(known, ["ref", "mode"], "left_semi"), "nested")
+    keys = ["id", "mode"]
+
+    def draw(some: DataFrame, parts: DataFrame, name: str) -> DataFrame:
+        at = inner.join(some.select(*keys), keys, "left_semi").join(parts.select(F.col("type").alias("mt"), F.col("id").alias("ref"), "mode", "wkb"), ["mt", "ref", "mode"])
         listed = at.groupBy("id", "mode").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("mt").alias("type"), "role", "wkb"))).alias("parts"))
-        shapes = rel.join(listed, ["id", "mode"], "left").select("type", "id", "mode", _relation_wkb("parts", is_multipolygon(F.col("tags"))).alias("wkb"))
-        before, drawn = drawn, tmp.keep(shapes, f"relations-{level}")
+        return tmp.keep(some.join(listed, keys, "left").select("type", "id", "mode", _relation_wkb("parts", is_multipolygon(F.col("tags"))).alias("wkb")), name)
+
+    if not nested.limit(1).count():
+        return done.unionByName(draw(rel, done, "relations-0"))
+    left, level = rel, 0
+    while True:
+        waits = nested.join(left.select(F.col("id").alias("ref"), "mode"), ["ref", "mode"], "left_semi").select(*keys).distinct()
+        ready = left.join(waits, keys, "left_anti")
+        if not ready.limit(1).count():
+            break
+        ready = tmp.keep(ready, f"ready-{level}")
+        done = done.unionByName(draw(ready, done, f"relations-{level}"))
+        left = tmp.keep(left.join(ready.select(*keys), keys, "left_anti"), f"left-{level}")
+        level += 1
+    cyclic, drawn = left.select("id").distinct().count(), None
+    if cyclic:
+        warnings.warn(f"{cyclic} relations are on or above a cycle of relations and are drawn to {CYCLE_DEPTH} levels only", stacklevel=2)
+    for k in range(CYCLE_DEPTH if cyclic else 0):
+        before, drawn = drawn, draw(left, done if drawn is None else done.unionByName(drawn), f"cycle-{k}")
         if before is not None and drawn.exceptAll(before).limit(1).count() == 0:
             break
     return done if drawn is None else done.unionByName(drawn)
