@@ -195,13 +195,35 @@ def recall_of(df, rows, every, p=ann.AnnParams()):
     return np.array(hits)
 
 
-def test_the_graph_is_built_until_it_settles(spark):
-    x = np.random.default_rng(5).normal(size=(4000, 24))
+def test_the_search_visits_a_minor_part(spark):
+    """With small lists and leaves the graph is built by many rounds, and a query is compared with few of the nodes."""
+    x = np.random.default_rng(5).normal(size=(5000, 12))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    p = ann.AnnParams(neighbours=24, sampled=8, leaf=24, most_pivots=32, most_leaf=48, expand=(16, 48, 64), beam=300)
+    p = ann.AnnParams(neighbours=24, sampled=12, trees=3, leaf=24, leaf_best=8, most_pivots=32, most_leaf=48, expand=24, beam=40, entries=32)
     assert recall_of(df, rows, 40, p).mean() >= 0.9
+    tmp = Scratch(spark, "t")
+    nodes = ann.node_table(df.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")), tmp, 12)
+    queries = nodes.where("id % 40 = 0").select(F.col("id").alias("q"), "part", "raw")
+    graph = ann.build_graph(nodes, tmp, p)
+    seen = [r.seen for r in ann.search(queries, graph, nodes, tmp, p).select("q", "seen").distinct().collect()]
+    assert len(seen) == 125 and max(seen) < 5000 * 0.2
+
+
+def test_lengths_and_repeated_ids(spark):
+    """Each length is searched among its own; an id with several vectors is asked for each, and found once."""
+    rows = [(i, [float(i % 5), 1.0]) for i in range(10)] + [(i, [1.0, float(i), 2.0]) for i in range(20, 26)] + [(4, [9.0, 9.0]), (4, [9.0, 9.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ann.nearest(df, 4).collect())
+    want = []
+    for q, v in {(q, tuple(v)) for q, v in rows if q % 4 == 0}:
+        best: dict = {}
+        for i, w in rows:
+            if i != q and len(w) == len(v):
+                best[i] = max(best.get(i, -1.0), sum(a * b for a, b in zip(v, w, strict=True)))
+        want += [(q, k + 1, i, s) for k, (i, s) in enumerate(sorted(best.items(), key=lambda e: (-e[1], e[0]))[:20])]
+    assert got == sorted(want)
 
 
 def test_near_copies_and_one_huge_norm(spark):
