@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,17 +14,18 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, tmp: Scratch) -> DataFrame:
     """Each larger neighbour of u is tied to the smallest node among u and its neighbours."""
     near = _both_ways(edges)
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # Smallest neighbours are summed up before the shuffle and written apart, so that the join below may split a hub's neighbours over tasks.
+    least = tmp.write(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"least-{uuid.uuid4().hex}")
     return near.where("v > u").join(least, "u").select(F.col("v").alias("b"), F.col("m").alias("a"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tmp: Scratch) -> DataFrame:
     """Each smaller neighbour of u, and u itself, is tied to the smallest of them."""
     near = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = near.groupBy("u").agg(F.min("v").alias("m"))
+    least = tmp.write(near.groupBy("u").agg(F.min("v").alias("m")), f"least-{uuid.uuid4().hex}")
     return near.join(least, "u").select(F.col("v").alias("b"), F.col("m").alias("a")).unionAll(least.select(F.col("u").alias("b"), F.col("m").alias("a")))
 
 
@@ -42,7 +45,10 @@ def connected_components(edges: DataFrame, tmp: Scratch, name: str, rounds: int
     for k in range(1, rounds + 1):
         if not seen[0]:
             break
-        after = tmp.write(_small_star(_large_star(now)).where("a <> b").select("a", "b").distinct(), f"{name}-{k}")
+        part = Scratch(tmp.spark, name)
+        large = part.write(_large_star(now, part).where("a <> b").distinct(), "large")
+        after = tmp.write(_small_star(large, part).where("a <> b").select("a", "b").distinct(), f"{name}-{k}")
+        part.drop("")
         tmp.drop(f"{name}-{k - 1}")
         now, before, seen = after, seen, state(after)
         if seen == before:

@@ -38,7 +38,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from . import text as tx
 from .components import connected_components
 from .grouping import fold_groups
-from .runtime import Scratch, by_ids
+from .runtime import Scratch, by_ids, free_name
 
 U64 = np.uint64
 EMPTY = U64(0xFFFFFFFFFFFFFFFF)
@@ -162,12 +162,8 @@ def prefix_keys(grams: np.ndarray, df: np.ndarray, p: NearDupParams) -> tuple[np
     return keys(-(-n * p.percent // 100), n, True), keys(n, n * 100 // p.percent, False)
 
 
-def _open_pairs(rest: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame:
-    """(a, b): pairs of members of the open buckets, in different components, that may be linked; every link is among them.
-
-    rest: (rep, label, main) of the members. A prefix join on the rarest shingles: variants
-    of one text that have too many shingles of their own don't meet, however many they are.
-    """
+def _meetings(rest: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame:
+    """(x, nx, lx, y, ny, ly): what meets in the prefix join, the larger set first, once for each key."""
     nodes = rest.groupBy("rep").agg(F.first("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("out"))
 
     def run(batches):
@@ -193,8 +189,18 @@ def _open_pairs(rest: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame
     keyed = fold_groups(counted, "id", lambda: ([], []), fold, finish, schema, flush=500).join(nodes, "rep")
     x = keyed.select(F.explode("larger").alias("key"), F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"), F.col("out").alias("ox"))
     y = keyed.select(F.explode("smaller").alias("key"), F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("label").alias("ly"), F.col("out").alias("oy"))
+    # One of a pair is outside its bucket's largest component; members of that one never meet each other, so a key costs its members times its outsiders.
+    return x.where("ox").join(y, "key").unionByName(x.where("NOT ox").join(y.where("oy"), "key"))
+
+
+def _open_pairs(rest: DataFrame, sets: DataFrame, p: NearDupParams) -> DataFrame:
+    """(a, b): pairs of members of the open buckets, in different components, that may be linked; every link is among them.
+
+    rest: (rep, label, main) of the members. A prefix join on the rarest shingles: variants
+    of one text that have too many shingles of their own don't meet, however many they are.
+    """
     once = (F.col("nx") > F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
-    met = x.join(y, "key").where((F.col("lx") != F.col("ly")) & once & (F.col("ox") | F.col("oy")))
+    met = _meetings(rest, sets, p).where((F.col("lx") != F.col("ly")) & once)
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -308,5 +314,5 @@ def keep_one(docs: DataFrame, p: NearDupParams, id_col: str = "doc_id", text_col
     if not again.limit(1).count():
         return left
     once, twice = by_ids(left, id_col, again, "left_anti"), by_ids(left, id_col, again, "left_semi")
-    first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last())
-    return once.unionByName(twice.withColumn("__rank", F.row_number().over(first)).where("__rank = 1").drop("__rank"))
+    first, rank = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_last()), free_name(docs, "__rank")
+    return once.unionByName(twice.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank))

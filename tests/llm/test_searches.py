@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terraloom.llm import ann, decontaminate, neardup
+from terraloom.llm import ann, decontaminate, neardup, runtime
 from terraloom.llm.components import connected_components
 from terraloom.llm.runtime import Scratch
 
@@ -132,6 +132,50 @@ def test_containment_matches_brute_force(spark):
     assert decontaminate.contained_items(D, B.limit(0)).count() == 0 == decontaminate.contained_items(D.limit(0), B).count()
 
 
+def test_window_sketches_find_short_items_in_long_documents():
+    """Without the probes: whole items within documents a thousand times as long are candidates, others hardly ever."""
+    rng, p = random.Random(12), decontaminate.ContainmentParams()
+    words_of = lambda t: decontaminate.tx.tokens(t, decontaminate.GAP)[0]
+    vocab = [f"v{i}" for i in range(5000)]
+    items = [rng.choices(vocab, k=rng.choice([8, 20, 40, 90])) for _ in range(120)]
+    sets = [decontaminate.tx.distinct(decontaminate.tx.shingle_stream(words_of(" ".join(t)), 5)) for t in items]
+    block = decontaminate.ItemBlock([(i, 5, s) for i, s in enumerate(sets)], p)
+    hit = wrong = 0
+    for i, t in enumerate(items):
+        doc = rng.choices(vocab, k=20_000)
+        at = rng.randrange(len(doc))
+        found = block.sketched(words_of(" ".join(doc[:at] + t + doc[at:])), 5)
+        hit, wrong = hit + (i in found), wrong + len(found - {i})
+    assert hit >= 0.95 * len(items) and wrong <= 2
+    values = decontaminate.minhashes(np.arange(50, dtype=np.uint64), 4)
+    assert (decontaminate.window_sketches(values, 8)[:, 1] == values[:, 8:24].min(axis=1)).all() and (decontaminate.window_sketches(values, 64)[:, 0] == values.min(axis=1)).all()
+
+
+@pytest.mark.parametrize("most", [10, 1000])
+def test_rows_by_ids(spark, monkeypatch, most):
+    """Above the broadcast bound a Bloom filter comes first; the result is the same."""
+    monkeypatch.setattr(runtime, "BROADCAST_IDS", most)
+    tmp = Scratch(spark, "t")
+    df = spark.range(-500, 500).withColumns({"__ID": F.lit("clash"), "__maybe": F.lit(1)}).unionByName(spark.sql("SELECT null AS id, 'n' AS __ID, 2 AS __maybe"))
+    ids = tmp.write(spark.range(-500, 500, 3).unionAll(spark.range(9000, 9050)), "ids")
+    semi, anti = runtime.by_ids(df, "id", ids, "left_semi"), runtime.by_ids(df, "id", ids, "left_anti")
+    assert semi.columns == anti.columns == df.columns
+    assert sorted(r.id for r in semi.collect()) == list(range(-500, 500, 3))
+    assert sorted(r.id for r in anti.where("id IS NOT NULL").collect()) == [i for i in range(-500, 500) if (i + 500) % 3] and anti.where("id IS NULL").count() == 1
+
+
+def test_a_key_of_a_large_group_costs_its_outsiders(spark):
+    """Members of one component that share rare shingles with few outsiders: what meets grows with their number, not its square."""
+    p, met = neardup.NearDupParams(), []
+    for n in (60, 240):
+        rows = [(d, neardup.tx.shingle_set(" ".join([f"b{i}" for i in range(40)] + [f"z{d}"]), 2).tobytes()) for d in range(n + 2)]
+        sets = spark.createDataFrame(rows, "id long, grams binary")
+        rest = spark.createDataFrame([(d, d if d >= n else 0, 0) for d, _ in rows], "rep long, label long, main long")
+        met.append(neardup._meetings(rest, sets, p).count())
+        assert neardup._open_pairs(rest, sets, p).count() == 2 * n + 1
+    assert met[1] <= 6 * met[0]
+
+
 def test_sketches_hold_a_value_that_any_container_has():
     for n in range(1, 400):
         k = decontaminate.sketch_size(n, 80)
