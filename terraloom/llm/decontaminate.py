@@ -5,13 +5,19 @@ so punctuation and spacing do not matter. An item's shingles are runs of five wo
 its words, if it has fewer). A document holds an item if it contains at least 80% of the
 item's distinct shingles.
 
-Items are partitioned by shingle width and by the power of two of their set size. All items
-of a partition are sketched by their smallest MinHash values, as many as the partition's
-upper size bound needs for a guarantee: a set that contains the share t of n shingles misses
-at most (1 - t) * n of them, so it contains one of any floor((1 - t) * n) + 1. Short items
-thus keep few values, and documents of any length are probed with them, without a sketch of
-the (far larger) document, which would drown a short item. Every document with a hit, and
-with enough shingles at all, is verified by counting the item's exact shingles in it.
+Items are partitioned by shingle width and by the power of two of their set size. For each
+partition a document's shingles are cut into overlapping windows of twice the partition's upper
+size, one beginning every upper size, so that a passage as long as an item lies within one
+window, whose set is of the item's order of size whatever the document's length. Windows and
+items are sketched by ``hashes`` MinHash functions; as a window may share no more than a fifth
+with an item it holds, a band is one row, and one agreeing value makes a candidate.
+
+So that no item is lost to chance, or because its shingles are scattered over a document,
+documents are probed as well with each item's smallest values of one more function, as many as
+the partition's upper size needs for a guarantee: a set that contains the share t of n shingles
+misses at most (1 - t) * n of them, so it contains one of any floor((1 - t) * n) + 1. Every
+candidate of either side with enough shingles at all is verified by counting the item's exact
+shingles in the document.
 
 Items are taken in blocks of bounded size, each broadcast and held against all documents;
 so neither the benchmark nor the corpus has a size limit. Null, empty and word-less texts
@@ -38,6 +44,7 @@ from .toxicity import GAP
 class ContainmentParams:
     width: int = 5
     percent: int = 80  # of an item's shingles
+    hashes: int = 16  # of a sketch
     block_shingles: int = 1_000_000  # of the items broadcast at a time
 
 
@@ -52,23 +59,61 @@ def sketch_size(n: int, percent: int) -> int:
     return min(n, upper - needed(upper, percent) + 1)
 
 
+def minhashes(s: np.ndarray, hashes: int) -> np.ndarray:
+    """Values of each shingle by each function, one row a function."""
+    with np.errstate(over="ignore"):
+        odd = tx.mix64(np.arange(1, hashes + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+        return s[None, :] * odd[:, None]
+
+
+def window_sketches(values: np.ndarray, upper: int) -> np.ndarray:
+    """Sketches (a column each) of the windows of 2 * upper shingles, one beginning every upper; values: those of the shingles in order."""
+    blocks = np.minimum.reduceat(values, np.arange(0, values.shape[1], upper), axis=1)
+    return np.minimum(blocks[:, :-1], blocks[:, 1:]) if blocks.shape[1] > 1 else blocks
+
+
+def _band_keys(sketches: np.ndarray) -> np.ndarray:
+    return tx.mix64(sketches ^ tx.mix64(np.arange(1, len(sketches) + 1, dtype=np.uint64))[:, None])
+
+
 class ItemBlock:
-    """Some items' shingle sets, and the smallest MinHash values of each as probes."""
+    """Some items' shingle sets, with their sketches by size partition and the smallest values of each as probes."""
 
-    def __init__(self, items: list[tuple[int, int, np.ndarray]], percent: int):
+    def __init__(self, items: list[tuple[int, int, np.ndarray]], p: ContainmentParams):
         """items: (position, shingle width, sorted distinct shingles)."""
-        self.percent = percent
+        self.p = p
         self.widths = sorted({w for _, w, _ in items})
         self.by_width = {}
         for w in self.widths:
             own = [(i, s) for i, k, s in items if k == w]
+            parts: dict[int, tuple[list, list]] = {}
             probes = []
             for j, (_, s) in enumerate(own):
-                least = s[np.argsort(tx.mix64(s ^ np.uint64(0x1D8E4E27C47D124F)), kind="stable")[: sketch_size(len(s), percent)]]
+                least = s[np.argsort(tx.mix64(s ^ np.uint64(0x1D8E4E27C47D124F)), kind="stable")[: sketch_size(len(s), p.percent)]]
                 probes.append((least, np.full(len(least), j)))
-            keys, of = np.concatenate([p[0] for p in probes]), np.concatenate([p[1] for p in probes])
-            order = np.argsort(keys, kind="stable")
-            self.by_width[w] = (own, keys[order], of[order])
+                keys, of = parts.setdefault(1 << len(s).bit_length(), ([], []))
+                keys.append(_band_keys(minhashes(s, p.hashes).min(axis=1, keepdims=True)).ravel())
+                of.append(np.full(p.hashes, j))
+            self.by_width[w] = (own, *self._sorted(*zip(*probes, strict=True)), {u: self._sorted(*x) for u, x in sorted(parts.items())})
+
+    @staticmethod
+    def _sorted(keys, of) -> tuple[np.ndarray, np.ndarray]:
+        keys, of = np.concatenate(keys), np.concatenate(of)
+        order = np.argsort(keys, kind="stable")
+        return keys[order], of[order]
+
+    @staticmethod
+    def _hits(keys: np.ndarray, of: np.ndarray, asked: np.ndarray) -> set[int]:
+        lo = np.searchsorted(keys, asked)
+        hit = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == asked)
+        hi = np.searchsorted(keys, asked[hit], side="right")
+        return {int(j) for a, b in zip(lo[hit], hi, strict=True) for j in of[a:b]}
+
+    def sketched(self, words: np.ndarray, w: int) -> set[int]:
+        """Candidates by the sketches of the document's windows: positions among the items of this width."""
+        stream = tx.shingle_stream(words, w)
+        values = minhashes(stream, self.p.hashes)
+        return {j for u, (keys, of) in self.by_width[w][3].items() for j in self._hits(keys, of, _band_keys(window_sketches(values, u)).ravel())}
 
     def find(self, words: np.ndarray) -> list[tuple[int, int, int]]:
         """(item position, shared shingles, item's shingles) of the items that a document contains."""
@@ -76,16 +121,14 @@ class ItemBlock:
         for w in self.widths:
             if len(words) < w:
                 continue
-            own, keys, of = self.by_width[w]
+            own, keys, of, _ = self.by_width[w]
             s = tx.distinct(tx.shingle_stream(words, w))
-            lo, hi = np.searchsorted(keys, s), np.searchsorted(keys, s, side="right")
-            hit = np.flatnonzero(hi > lo)
-            for j in sorted({int(of[k]) for h in hit for k in range(lo[h], hi[h])}):
+            for j in sorted(self.sketched(words, w) | self._hits(keys, of, s)):
                 item, grams = own[j]
-                if len(s) < needed(len(grams), self.percent):
+                if len(s) < needed(len(grams), self.p.percent):
                     continue
                 common = int(np.count_nonzero(s[np.minimum(np.searchsorted(s, grams), len(s) - 1)] == grams))
-                if 100 * common >= self.percent * len(grams):
+                if 100 * common >= self.p.percent * len(grams):
                     found.append((item, common, len(grams)))
         return found
 
@@ -113,7 +156,7 @@ def contained_items(docs: DataFrame, items: DataFrame, p: ContainmentParams = Co
 
     def scan(block: list) -> DataFrame:
         ids = [r.item_id for r in block]
-        held = spark.sparkContext.broadcast(ItemBlock([(i, r.w, np.frombuffer(r.grams, np.uint64)) for i, r in enumerate(block)], p.percent))
+        held = spark.sparkContext.broadcast(ItemBlock([(i, r.w, np.frombuffer(r.grams, np.uint64)) for i, r in enumerate(block)], p))
 
         def run(batches):
             for batch in batches:
@@ -122,22 +165,24 @@ def contained_items(docs: DataFrame, items: DataFrame, p: ContainmentParams = Co
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=schema.names)
 
-        return src.mapInArrow(run, schema)
+        return src.mapInArrow(run, schema), held
 
     parts, block, size = [], [], 0
     for r in sets.toLocalIterator():  # one block at a time is on the driver
         block.append(r)
         size += len(r.grams) // 8
         if size >= p.block_shingles:
-            parts.append(tmp.write(scan(block), f"block-{len(parts)}"))
+            found, held = scan(block)
+            parts.append(tmp.write(found, f"block-{len(parts)}"))
+            held.destroy()
             block, size = [], 0
     if block or not parts:
-        parts.append(scan(block) if block else spark.createDataFrame([], schema))
+        parts.append(scan(block)[0] if block else spark.createDataFrame([], schema))
     return reduce(DataFrame.unionByName, parts)
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, p: ContainmentParams = ContainmentParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the documents that contain a benchmark item; null ids stay."""
+    """docs without the documents that contain a benchmark item; null ids stay; of documents with one id all go if one contains an item."""
     tmp = Scratch(docs.sparkSession, "decontaminate-keep")
     found = tmp.write(contained_items(docs, items, p, id_col, text_col).where("doc_id IS NOT NULL").select("doc_id").distinct(), "found")
     return by_ids(docs, id_col, found, "left_anti")
