@@ -6,8 +6,8 @@ weights are trained by gradient descent on document labels alone; the sentence s
 tell which sentences offend.
 
 Fitting reads at most ``max_rows`` labelled documents of each label (lowest id hashes), in
-full, and keeps the ``max_words`` words whose document frequencies differ most between the
-labels; scoring reads every text in full. Null, empty and word-less texts have no sentence
+full, and keeps every word of ``min_docs`` of them or more whose document frequencies differ
+between the labels by ``least_z`` standard errors; scoring reads every text in full. Null, empty and word-less texts have no sentence
 and score 0. Without labels of both kinds every document scores 0.
 """
 
@@ -29,7 +29,7 @@ from .sampling import per_class, with_text
 @dataclass(frozen=True)
 class ToxicityParams:
     max_rows: int = 4000  # labelled documents of each label
-    max_words: int = 2000
+    least_z: float = 1.4  # by which a learnt word's document frequencies differ between the labels; three documents of one label reach it
     min_docs: int = 3  # documents that a learnt word is in, at least
     steps: int = 300
     penalty: float = 0.1  # of a weight's absolute value, in standard deviations of its derivative's noise
@@ -89,7 +89,8 @@ def _to_bags(batches):
 
 
 def fit(docs: DataFrame, labelled: DataFrame, p: ToxicityParams = ToxicityParams()) -> ToxicityModel:
-    """labelled: (id, label 0/1), the rows that may be learnt from."""
+    """labelled: (id, label 0/1), the rows that may be learnt from; other labels are left out."""
+    labelled = labelled.where("label IN (0, 1)")
     tmp = Scratch(docs.sparkSession, "toxicity")
     sample = tmp.write(per_class(labelled, "id", "label", p.max_rows), "sample")
     texts = with_text(sample, docs, 2 * p.max_rows).select(F.col("label").cast("double").alias("label"), "text")
@@ -98,9 +99,9 @@ def fit(docs: DataFrame, labelled: DataFrame, p: ToxicityParams = ToxicityParams
     if len(n) < 2:
         tmp.drop("sample", "bags")
         return ToxicityModel(np.empty(0, np.uint64), np.empty(0), -30.0)
-    totals = {float(r[0]): r[1] for r in labelled.where("label IS NOT NULL").groupBy("label").count().collect()}
+    totals = {float(r[0]): r[1] for r in labelled.groupBy("label").count().collect()}
 
-    # Document frequencies of the sample's words, by label; Spark keeps the most telling ones.
+    # Document frequencies of the sample's words, by label; Spark keeps the telling ones.
     def words(batches):
         for batch in batches:
             for i in range(batch.num_rows):
@@ -110,7 +111,7 @@ def fit(docs: DataFrame, labelled: DataFrame, p: ToxicityParams = ToxicityParams
     df = bags.mapInArrow(words, "w long, y double").groupBy("w").agg(F.sum("y").alias("d1"), F.sum(1 - F.col("y")).alias("d0")).where(F.col("d1") + F.col("d0") >= p.min_docs)
     p1, p0 = (F.col("d1") + 0.5) / (n[1.0] + 1), (F.col("d0") + 0.5) / (n[0.0] + 1)
     z = (p1 - p0) / F.sqrt(p1 / n[1.0] + p0 / n[0.0])
-    top = df.select("w", F.abs(z).alias("z")).orderBy(F.desc("z"), "w").limit(p.max_words).collect()
+    top = df.where(F.abs(z) >= p.least_z).select("w").collect()
     vocabulary = np.sort(np.array([r.w for r in top], dtype=np.int64).view(np.uint64))
 
     def narrow(batches):
