@@ -3,7 +3,8 @@
 Each learnt language gets a binary codeword. For every bit a binary n-gram classifier
 (log-odds of hashed byte 2- and 3-grams between the languages whose bit is 1 and those
 whose bit is 0) gives a margin; decoding picks the codeword with the smallest sum of
-logistic losses, each bit weighted by how well it separates the training documents. If the
+logistic losses, each bit weighted by how well it separates training documents that it was not
+learnt from (two halves, either by the classifiers of the other). If the
 two best codewords are closer than ``gap`` the text is flagged as ambiguous.
 
 Fitting uses at most ``max_rows`` labelled documents of each language (lowest id hashes) in
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from . import text as tx
-from .runtime import Scratch
+from .runtime import Scratch, free_name
 from .sampling import per_class, with_text
 
 UND = "und"
@@ -96,63 +97,74 @@ class LangIdModel:
         return best, 1 / odds.sum(axis=1), two[:, 1] - two[:, 0] < self.p.gap
 
 
+def _bit_classifiers(share: np.ndarray, code: np.ndarray, p: LangIdParams) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, bias) of the classifier of each bit, from each language's mean shares of n-grams."""
+    floor = 0.05 / p.bins
+    weights = np.zeros((p.bins, code.shape[1]))
+    bias = np.zeros(code.shape[1])
+    for j in range(code.shape[1]):
+        a, b = share[code[:, j] > 0].mean(axis=0), share[code[:, j] < 0].mean(axis=0)
+        weights[:, j] = np.log((a + floor) / (b + floor))
+    # Scale and centre each bit so that the languages' means lie at -3 and +3 or beyond.
+    margin = share @ weights
+    for j in range(code.shape[1]):
+        hi, lo = margin[code[:, j] > 0, j].min(), margin[code[:, j] < 0, j].max()
+        scale = 6 / max(1e-6, abs(hi - lo))
+        weights[:, j] *= scale
+        bias[j] = -(hi + lo) / 2 * scale
+    return weights, bias
+
+
 def fit(docs: DataFrame, labelled: DataFrame, p: LangIdParams = LangIdParams()) -> LangIdModel:
     """labelled: (id, label), the rows that may be learnt from; null labels are left out."""
     tmp = Scratch(docs.sparkSession, "langid")
     sample = tmp.write(per_class(labelled, "id", "label", p.max_rows), "sample")
     texts = with_text(sample, docs, sample.count()).select("id", "label", "text").repartition(16, "id")
 
+    half = F.pmod(F.xxhash64("id", F.lit(p.seed)), F.lit(2))
+    texts = texts.select(half.alias("half"), "label", "text")
+
     def sums(batches):
-        total: dict[str, list] = {}
+        total: dict[tuple, list] = {}
         for batch in batches:
-            for lang, t in zip(batch.column(1), batch.column(2), strict=True):
+            for k, lang, t in zip(*batch.columns, strict=True):
                 if t.is_valid and _LETTER.search(t.as_py()):
-                    x = grams(t.as_py(), p.bins)
-                    s = total.setdefault(lang.as_py(), [0, np.zeros(p.bins), np.zeros(p.bins)])
+                    s = total.setdefault((lang.as_py(), k.as_py()), [0, np.zeros(p.bins)])
                     s[0] += 1
-                    s[1] += x
-                    s[2] += x * x
-        rows = [{"lang": k, "n": n, "s": s.tobytes()} for k, (n, s, _) in total.items()]
-        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("lang", pa.string()), ("n", pa.int64()), ("s", pa.binary())]))
-
-    total: dict[str, list] = {}
-    for r in texts.mapInArrow(sums, "lang string, n long, s binary").toLocalIterator():
-        t = total.setdefault(r.lang, [0, np.zeros(p.bins)])
+                    s[1] += grams(t.as_py(), p.bins)
+        rows = [{"lang": k[0], "half": k[1], "n": n, "s": s.tobytes()} for k, (n, s) in total.items()]
+        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("lang", pa.string()), ("half", pa.int64()), ("n", pa.int64()), ("s", pa.binary())]))
+
+    total: dict[tuple, list] = {}
+    for r in texts.mapInArrow(sums, "lang string, half long, n long, s binary").toLocalIterator():
+        t = total.setdefault((r.lang, r.half), [0, np.zeros(p.bins)])
         t[0] += r.n
         t[1] += np.frombuffer(r.s)
-    langs = sorted(total)
+    langs = sorted({k for k, _ in total})
     if not langs:
         tmp.drop("sample")
         return LangIdModel([], np.ones((0, 0)), np.zeros((p.bins, 0)), np.zeros(0), np.zeros(0), p)
-    share = np.stack([total[k][1] / total[k][0] for k in langs])
     code = codewords(len(langs), p.seed)
-    floor = 0.05 / p.bins
-    weights = np.zeros((p.bins, code.shape[1]))
-    bias = np.zeros(code.shape[1])
-    for j in range(code.shape[1]):
-        a, b = share[code[:, j] > 0].mean(axis=0), share[code[:, j] < 0].mean(axis=0)
-        weights[:, j] = np.log((a + floor) / (b + floor))
-    # Scale and centre each bit so that the languages' means lie at -3 and +3 or beyond, then
-    # weigh it by the margin of the language that it separates worst.
-    margin = share @ weights
-    for j in range(code.shape[1]):
-        hi, lo = margin[code[:, j] > 0, j].min(), margin[code[:, j] < 0, j].max()
-        bias[j] = -(hi + lo) / 2
-        scale = 6 / max(1e-6, abs(hi - lo))
-        weights[:, j] *= scale
-        bias[j] *= scale
-    power = np.ones(code.shape[1])
-    model = LangIdModel(langs, code, weights, bias, power, p)
+
+    def shares(halves) -> np.ndarray:
+        out = []
+        for k in langs:
+            t = [total[k, h] for h in halves if (k, h) in total] or [total[k, h] for h in (0, 1) if (k, h) in total]
+            out.append(sum(s for _, s in t) / sum(n for n, _ in t))
+        return np.stack(out)
+
+    model = LangIdModel(langs, code, *_bit_classifiers(shares((0, 1)), code, p), np.ones(code.shape[1]), p)
     if code.shape[1]:
         index = {k: i for i, k in enumerate(langs)}
+        other = [_bit_classifiers(shares((1 - h,)), code, p) for h in (0, 1)]
 
         def right(batches):
             ok, n = np.zeros(code.shape[1]), 0
             for batch in batches:
-                for lang, t in zip(batch.column(1), batch.column(2), strict=True):
+                for h, lang, t in zip(*batch.columns, strict=True):
                     if lang.as_py() in index and t.is_valid:
-                        m = grams(t.as_py(), p.bins) @ weights + bias
-                        ok += m * code[index[lang.as_py()]] > 0
+                        weights, bias = other[h.as_py()]
+                        ok += (grams(t.as_py(), p.bins) @ weights + bias) * code[index[lang.as_py()]] > 0
                         n += 1
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([ok.tolist()], pa.list_(pa.float64()))], names=["n", "ok"])
 
@@ -181,4 +193,4 @@ def predict(docs: DataFrame, model: LangIdModel, text_col: str = "text", names:
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(lang, pa.string()), pa.array(sc, pa.float64()), pa.array(amb, pa.bool_())], names=[*kept, *names])
 
     fields = [StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), BooleanType()), strict=True)]
-    return docs.select(*kept, F.col(text_col).alias("__text")).mapInArrow(run, StructType([*docs.select(*kept).schema.fields, *fields]))
+    return docs.select(*kept, F.col(text_col).alias(free_name(docs, "__text"))).mapInArrow(run, StructType([*docs.select(*kept).schema.fields, *fields]))
