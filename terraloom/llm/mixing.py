@@ -69,9 +69,9 @@ def source_targets(sizes: DataFrame, p: MixParams = MixParams()) -> DataFrame:
 
 
 def place_documents(docs: DataFrame, sources: DataFrame, p: MixParams) -> DataFrame:
-    """docs (doc_id, source, size) with src and ``at``, the first word's position in the source's shuffled stream."""
+    """docs (doc_id, source, size, t: hash of the text, which spreads rows of one id or none) with src and ``at``, the first word's position in the source's shuffled stream."""
     d = docs.join(sources.select("src", F.col("source").alias("__s")), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
-    d = d.withColumn("h", F.xxhash64("doc_id", F.lit(17))).withColumn("range", F.pmod(F.shiftright("h", 32), F.lit(p.ranges)))
+    d = d.withColumn("h", F.xxhash64("doc_id", "t", F.lit(17))).withColumn("range", F.pmod(F.shiftright("h", 32), F.lit(p.ranges)))
     sums = d.groupBy("src", "range").agg(F.sum("size").alias("n"))
     base = sums.withColumn("base", F.sum("n").over(Window.partitionBy("src").orderBy("range")) - F.col("n")).drop("n")
     own = Window.partitionBy("src", "range").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -129,7 +129,7 @@ def mix(placed: DataFrame, sources: DataFrame, slots: int, p: MixParams) -> Data
 def mix_report(docs: DataFrame, p: MixParams = MixParams(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, source, size, source_size, target, taken), one row for each row of docs."""
     tmp = Scratch(docs.sparkSession, "mixing")
-    sizes = tmp.write(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size")), "sizes")
+    sizes = tmp.write(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("t")), "sizes")
     sources = tmp.write(source_targets(sizes, p), "sources")
     placed = tmp.write(place_documents(sizes, sources, p), "placed")
     tmp.drop("sizes")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import text as tx
-from .runtime import Scratch
+from .runtime import Scratch, free_name
 from .sampling import per_class, with_text
 
 
@@ -124,7 +124,8 @@ def _to_statistics(batches):
 
 
 def fit(docs: DataFrame, labelled: DataFrame, p: QualityParams = QualityParams()) -> QualityModel:
-    """labelled: (id, label 0/1), the rows that may be learnt from."""
+    """labelled: (id, label 0/1), the rows that may be learnt from; other labels are left out."""
+    labelled = labelled.where("label IN (0, 1)")
     tmp = Scratch(docs.sparkSession, "quality")
     sample = tmp.write(per_class(labelled, "id", "label", p.max_rows), "sample")
     texts = with_text(sample, docs, 2 * p.max_rows)
@@ -142,7 +143,7 @@ def fit(docs: DataFrame, labelled: DataFrame, p: QualityParams = QualityParams()
     model.mean = np.array(moments[:N_STATS])
     model.scale = np.maximum(np.array(moments[N_STATS:]), 1e-6)
     # Rows of the two labels count as often as they occur among all labelled rows.
-    totals = {float(r[0]): r[1] for r in labelled.where("label IS NOT NULL").groupBy("label").count().collect()}
+    totals = {float(r[0]): r[1] for r in labelled.groupBy("label").count().collect()}
     weight = {k: totals[k] / n for k, n in kinds.items()}
     weight = {k: w * sum(kinds.values()) / sum(totals[k] for k in kinds) for k, w in weight.items()}
 
@@ -198,4 +199,4 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text", name: st
 
     rest = docs.select(*kept)
     schema = StructType([*rest.schema.fields, StructField(name, DoubleType())])
-    return docs.select(*kept, F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    return docs.select(*kept, F.col(text_col).alias(free_name(docs, "__text"))).mapInArrow(run, schema)

@@ -18,6 +18,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and conversation -1, formatted and read back: (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, ...); null texts count as empty, null roles too."""
     rows = _table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
@@ -25,6 +26,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, held_out, score, predicted, offending) of every document, one row each; a null doc_id is never held out; null and empty texts score 0."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     train = labels.where(crc_mod("doc_id", 5) != 0).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
     model = toxicity.fit(docs, train)
@@ -34,23 +36,28 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every page, read back from the archive; null html is an empty payload."""
     head, payloads = warc.write_archive(_table(spark, sf_dir, "pages"), Scratch(spark, "warc"))
     return warc.read_records(warc.reconstruct(head, payloads)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(query_id, rank, vec_id, score): the 20 nearest of each vector whose id is divisible by 20; vectors that are null, zero or not finite take no part."""
     return ann.nearest(_table(spark, sf_dir, "embeddings"), every=20)
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document by two-word shingles; null and blank texts are linked with nothing."""
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, host, path, rule, verdict) of every page; a null url has empty host and path and the default verdict."""
     return urlfilter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every document, one row each; a null doc_id is never held out; null texts score like empty ones."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     train = labels.where(crc_mod("doc_id", 4) != 2).select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
     model = quality.fit(docs, train)
@@ -60,6 +67,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score, ambiguous) of every document, one row each; null texts and texts without a letter are `und` with score 0."""
     docs = _table(spark, sf_dir, "documents")
     train = docs.where(crc_mod("doc_id", 3) != 1).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"))
     model = langid.fit(docs, train)
@@ -68,10 +76,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) of every document, one row each; null and blank texts are taken 0 times."""
     return mixing.mix_report(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, item_id, shared, item_shingles, containment) for every document and benchmark item it contains."""
     return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 

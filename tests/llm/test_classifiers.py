@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -150,7 +152,70 @@ def test_an_even_mixture_is_ambiguous():
     assert flag[0] and np.isclose(score[0], 0.5)
 
 
-def test_samples_are_bounded_and_repeatable(spark):
-    df = spark.range(1000).select("id", (F.col("id") % 3).cast("string").alias("label")).unionAll(spark.sql("SELECT 5L, '2'"))
-    a = per_class(df, "id", "label", 50).collect()
-    assert len(a) == 150 and sorted(a) == sorted(per_class(df.repartition(7), "id", "label", 50).collect())
+def test_samples_are_the_lowest_hashes_of_each_label(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 30 == 0, "few").when(F.col("id") % 3 == 1, "a").otherwise("b").alias("label")).unionAll(spark.sql("SELECT 5L, 'a' UNION ALL SELECT null, 'a' UNION ALL SELECT 7L, null"))
+    hashed = df.where("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.max("label").alias("label")).withColumn("h", F.xxhash64("id")).collect()
+    for bound in (1, 50, 700, 5000):
+        want = []
+        for label in ("few", "a", "b"):
+            want += [(r.id, label) for r in sorted((r for r in hashed if r.label == label), key=lambda r: r.h)[:bound]]
+        assert sorted(map(tuple, per_class(df.repartition(7), "id", "label", bound).collect())) == sorted(want)
+
+
+def test_quality_equals_a_direct_fit(spark, graded):
+    """The model from partition sums is the ridge and the pooled fit that numpy makes of all rows at once."""
+    train = graded.where("label IS NOT NULL").select(F.col("doc_id").alias("id"), "label")
+    p = quality.QualityParams()
+    m = quality.fit(graded, train, p)
+    rows = graded.where("label IS NOT NULL").select("text", "label", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(p.seed)), F.lit(p.folds)).alias("fold")).collect()
+    x, y, fold = np.array([quality.statistics(r.text) for r in rows]), np.array([r.label for r in rows], float), np.array([r.fold for r in rows])
+    assert np.allclose(m.mean, x.mean(axis=0)) and np.allclose(m.scale, np.maximum(x.std(axis=0), 1e-6))
+    z = np.hstack([np.cos(np.clip((x - m.mean) / m.scale, -6, 6) @ m.waves + m.phase) * np.sqrt(2 / p.features), np.ones((len(x), 1))])
+
+    def ridge(of):
+        return np.linalg.solve(z[of].T @ z[of] + p.ridge * np.eye(z.shape[1]), z[of].T @ (2 * y[of] - 1))
+
+    assert np.allclose(m.weights, ridge(fold >= 0), atol=1e-6)
+    raw = np.array([z[i] @ ridge(fold != fold[i]) for i in range(0, len(x), 10)])
+    knots, values = quality.isotonic(np.concatenate([z[fold == k] @ ridge(fold != k) for k in range(p.folds)]), np.concatenate([y[fold == k] for k in range(p.folds)]))
+    assert np.allclose(np.interp(raw, m.knots, m.values), np.interp(raw, knots, values), atol=1e-3)
+    odd = train.unionAll(spark.sql("SELECT 9003L, 7"))
+    assert np.allclose(quality.fit(graded, odd.where("id <> 9003 OR label = 7")).weights, quality.fit(graded, train.where("id <> 9003")).weights, atol=1e-6)
+
+
+def test_langid_equals_a_direct_fit(spark, tongues):
+    """Codeword by codeword, bit by bit, document by document, in plain loops."""
+    train = tongues.where("lang IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("lang").alias("label"))
+    m = langid.fit(tongues, train)
+    docs = [r for r in tongues.collect() if r.text and any(c.isalpha() for c in r.text)]
+    mean = {k: np.mean([langid.grams(r.text, m.p.bins) for r in docs if r.lang == k], axis=0) for k in m.langs}
+    weights, bias = np.zeros((m.p.bins, m.code.shape[1])), np.zeros(m.code.shape[1])
+    for j in range(m.code.shape[1]):
+        one, none = ([mean[k] for k, c in zip(m.langs, m.code[:, j], strict=True) if c == s] for s in (1, -1))
+        w = np.log((np.mean(one, axis=0) + 0.05 / m.p.bins) / (np.mean(none, axis=0) + 0.05 / m.p.bins))
+        hi, lo = min(v @ w for v in one), max(v @ w for v in none)
+        weights[:, j], bias[j] = w * 6 / abs(hi - lo), -(hi + lo) / 2 * 6 / abs(hi - lo)
+    assert np.allclose(m.weights, weights) and np.allclose(m.bias, bias)
+    said = {r.doc_id: r for r in langid.predict(tongues, m).collect()}
+    for r in docs[::7]:
+        margin = langid.grams(r.text, m.p.bins) @ weights + bias
+        loss = [sum(p * np.log1p(np.exp(-c * x)) for p, c, x in zip(m.power, word, margin, strict=True)) / m.power.sum() for word in m.code]
+        assert said[r.doc_id].lang_pred == m.langs[int(np.argmin(loss))]
+        two = sorted(loss)[:2]
+        assert said[r.doc_id].ambiguous == (two[1] - two[0] < m.p.gap) and np.isclose(said[r.doc_id].score, 1 / sum(np.exp(-4 * (x - two[0])) for x in loss))
+
+
+def test_toxicity_scores_equal_a_direct_noisy_or(spark, toxic):
+    """Sentences and words in plain Python, by the words the model holds; and the fit is a minimum of its own loss."""
+    train = toxic.select(F.col("doc_id").alias("id"), "label").unionAll(spark.sql("SELECT 9001L, 5"))
+    m = toxicity.fit(toxic.select("doc_id", "text"), train)
+    held = dict(zip(m.words.tolist(), m.weights.tolist(), strict=True))
+    for r in toxicity.score(toxic.select("doc_id", "text", F.col("text").alias("copy")), m).where("doc_id < 60").collect():
+        none = 1.0
+        for sentence in re.split(r"[.!?\n]", r.copy):
+            words_ = {int(h) for w in re.findall(r"[a-z0-9'\u0080-\U0010ffff]+", sentence.lower()) for h in toxicity.tx.word_hashes(w)}
+            if words_:
+                none *= 1 - 1 / (1 + math.exp(-m.bias - sum(held.get(w, 0.0) for w in words_)))
+        assert math.isclose(r.score, 1 - none, abs_tol=1e-9)
+    words_ = {w: float(m.weights[m.words == toxicity.tx.word_hashes(w)[0]].sum()) for w in ("vile", "scum", "rotten")}
+    assert min(words_.values()) > 3 and sum(v > 1 for v in held.values()) <= 6

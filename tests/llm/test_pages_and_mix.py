@@ -138,7 +138,7 @@ def test_mix_of_nothing(spark):
 
 
 def test_schedule_is_even_and_pieces_are_whole(spark):
-    sizes = spark.createDataFrame([(i, "ab"[i % 2], 40 + i % 7) for i in range(400)], "doc_id long, source string, size long")
+    sizes = spark.createDataFrame([(i, "ab"[i % 2], 40 + i % 7) for i in range(400)], "doc_id long, source string, size long").withColumn("t", F.xxhash64("doc_id"))
     p = mixing.MixParams(block=100, chunk=16, ranges=8)
     sources = mixing.source_targets(sizes, p)
     slots = sources.agg(F.sum("quota")).first()[0]

@@ -8,8 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from terraloom.llm import langid, quality
-
 from .test_searches import brute_components
 
 
@@ -32,7 +30,7 @@ def corpus(spark):
             labels.append((i, int(good), 0))
     docs += [(1000 + k, docs[5][1] + f" extra{k}"[: k + 2], docs[5][2], "src0") for k in range(10)]
     docs += [(2000, None, "aa", None), (2001, "12 34 56", "bb", "src1"), (2002, docs[7][1], None, "src2"), (2002, docs[7][1], None, "src2")]
-    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").withColumns({"n_chars": F.length("text"), "__x": F.lit(1)}).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").withColumns({"n_chars": F.length("text"), "__score": F.lit(1), "__lang": F.lit("x"), "__ambiguous": F.lit(2), "__rank": F.lit(3), "__id": F.lit(4), "__text": F.lit("y"), "__maybe": F.lit(5)}).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return folder
@@ -79,7 +77,3 @@ def test_nothing_to_learn_from_keeps_all(spark, corpus):
         if not os.path.exists(f"{folder}/benchmark.parquet"):
             spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
         assert stage(spark, docs.limit(0), folder).count() == 0
-
-
-def test_models_are_used():
-    assert quality.N_STATS == len(quality.statistics("Some text.")) and langid.UND == "und"
