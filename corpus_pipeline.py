@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraloom.llm import decontaminate, langid, mixing, neardup, quality
-from terraloom.llm.runtime import Scratch
+from terraloom.llm.runtime import Scratch, free_name
 from terraloom.llm.sampling import crc_mod
 
 #: The stages are trained models and searches that SQL can't express; tests hold them against brute force.
@@ -23,7 +23,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     model = quality.fit(docs, train)
     if model.constant is not None:
         return docs
-    return quality.score(docs, model, name="__score", keep_text=True).where("__score >= 0.7").drop("__score")
+    name = free_name(docs, "__score")
+    return quality.score(docs, model, name=name, keep_text=True).where(F.col(name) >= 0.7).drop(name)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +33,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = langid.fit(docs, train)
     if not model.langs:
         return docs
-    said = langid.predict(docs, model, names=("__lang", "__score", "__ambiguous"), keep_text=True)
-    return said.where((F.col("__lang") != langid.UND) & ~F.col("__ambiguous")).drop("__lang", "__score", "__ambiguous")
+    lang, score, ambiguous = names = tuple(free_name(docs, n) for n in ("__lang", "__score", "__ambiguous"))
+    said = langid.predict(docs, model, names=names, keep_text=True)
+    return said.where((F.col(lang) != langid.UND) & ~F.col(ambiguous)).drop(lang, score, ambiguous)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
