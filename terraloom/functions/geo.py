@@ -66,6 +66,12 @@ def st_transform(g: Column, srid: int = 3857) -> Column:
     return run(g)
 
 
+@F.pandas_udf(BinaryType())
+def st_transform_to(g: pd.Series, srid: pd.Series) -> pd.Series:
+    """st_transform with the projection's code as a column; an unknown code raises."""
+    return pd.Series([None if b is None else wkb.dump(*wkb.transform(*wkb.load(b), PROJECTIONS[int(k)])) for b, k in zip(g, srid, strict=True)], dtype=object)
+
+
 def mercator_x(lon: Column) -> Column:
     """Native: metres east."""
     return F.lit(RADIUS) * F.radians(lon)

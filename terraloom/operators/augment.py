@@ -7,17 +7,22 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import pack, partition_number, unpack_id, unpack_type
 from ..schema import MEMORY, RANK, STORAGE, UPDATE
+from ..sources.store import Pairs
 from .edges import edges
 
 
-def affected_containers(index: DataFrame, keys: DataFrame) -> DataFrame:
-    """(b): containers of the keys (v). As the index is closed, one semi join reaches all levels."""
-    return index.join(keys.select(F.col("v").alias("a")), "a", "left_semi").select("b").distinct()
+def _pairs(index: DataFrame | Pairs) -> Pairs:
+    return index if isinstance(index, Pairs) else Pairs(index)
 
 
-def affected_edges(index: DataFrame, keys: DataFrame) -> DataFrame:
+def affected_containers(index: DataFrame | Pairs, keys: DataFrame) -> DataFrame:
+    """(b): containers of the keys (v). As the index is closed, one look-up by member reaches all levels."""
+    return _pairs(index).about("a", keys).select("b").distinct()
+
+
+def affected_edges(index: DataFrame | Pairs, keys: DataFrame) -> DataFrame:
     """(a, b): all index pairs into the affected containers."""
-    return index.join(affected_containers(index, keys), "b", "left_semi").select("a", "b")
+    return _pairs(index).about("b", affected_containers(index, keys).select(F.col("b").alias("v")))
 
 
 def changed_keys(update: DataFrame, repaired: bool = True) -> DataFrame:
@@ -32,11 +37,11 @@ def changed_keys(update: DataFrame, repaired: bool = True) -> DataFrame:
     return nodes.unionByName(edges(update).select(F.col("b").alias("v"))).distinct()
 
 
-def wanted(index: DataFrame, update: DataFrame, repaired: bool = True) -> DataFrame:
+def wanted(index: DataFrame | Pairs, update: DataFrame, repaired: bool = True) -> DataFrame:
     """(p, id, type) of the changed entities, what contains them, and all that is needed to draw those."""
     keys = changed_keys(update, repaired)
     containers = keys.unionByName(affected_containers(index, keys).select(F.col("b").alias("v"))).distinct()
-    parts = index.join(containers.select(F.col("v").alias("b")), "b", "left_semi").select(F.col("a").alias("v"))
+    parts = _pairs(index).about("b", containers).select(F.col("a").alias("v"))
     every = containers.unionByName(parts).distinct()
     pair = every.select(unpack_id(F.col("v")).alias("id"), unpack_type(F.col("v")).alias("type"))
     return pair.select(partition_number(F.col("id"), F.col("type")).alias("p"), "id", "type")

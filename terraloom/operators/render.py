@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField, StructType
 
 from ..functions.tags import is_area, is_multipolygon
 from ..geometry import assembly, wkb
@@ -87,6 +87,24 @@ def _relation_wkb(members: pd.Series, polygon: pd.Series) -> pd.Series:
     return pd.Series([one(p, poly) for p, poly in zip(members, polygon, strict=True)], dtype=object)
 
 
+def _members(parts) -> tuple[list, list, list]:
+    parts = [] if parts is None else list(parts)
+    return [CODES[m["type"]] for m in parts], [m["role"] for m in parts], [None if m["wkb"] is None else bytes(m["wkb"]) for m in parts]
+
+
+@F.pandas_udf(BinaryType())
+def multipolygon_wkb(members: pd.Series) -> pd.Series:
+    """WKB of the polygons of members (array of type, role, wkb); null if a way has no geometry or rings can't be assembled."""
+    return pd.Series([assembly.multipolygon(*_members(p)) for p in members], dtype=object)
+
+
+@F.pandas_udf(ArrayType(StructType([StructField("role", StringType()), StructField("wkb", BinaryType())])))
+def route_wkb(members: pd.Series) -> pd.Series:
+    """The joined lines of members (array of type, role, wkb) by role; null if a way has no geometry."""
+    made = (assembly.route(*_members(p)) for p in members)
+    return pd.Series([None if r is None else [{"role": role, "wkb": g} for role, g in r] for r in made], dtype=object)
+
+
 def states(h: DataFrame) -> DataFrame:
     """(id, type, mode, row): every state that a container may draw; in mode "in" the old row stands in for a missing new one."""
     now, before = F.col("now"), F.col("before")

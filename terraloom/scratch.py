@@ -34,11 +34,27 @@ def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_FREEING, before)
 
 
+_scopes: list[list[WorkTables]] = []
+
+
+@contextmanager
+def dropped_at_end() -> Iterator[None]:
+    """All work tables made within are removed at the end; what is to stay is written elsewhere before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for made in _scopes.pop():
+            made.drop()
+
+
 class WorkTables:
     """Tables that cut the lineage of iterative plans; they outlive the loss of executors."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_folder(spark)}/work/{name}-{uuid.uuid4().hex}"
+        if _scopes:
+            _scopes[-1].append(self)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         with freeing_shuffles(self.spark):

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import time
+import urllib.error
+import urllib.parse
+import urllib.request
 from collections.abc import Callable, Iterator
 from itertools import count, islice
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import three_digits
@@ -44,19 +48,38 @@ def with_retries(work: Callable, attempts: int = 9, first_wait: float = 2.0, sle
             sleep(first_wait * 2**k)
 
 
-def fetched(path: str, folder: str) -> str:
-    """A path that Spark can read: http(s) files are copied into folder, others are read in place."""
-    if not path.startswith(("http://", "https://")):
-        return path
-    import os
-    import shutil
-    import urllib.request
-
-    target = os.path.join(folder, os.path.basename(path))
+def _remote(path: str) -> bool:
+    return path.startswith(("http://", "https://"))
 
-    def copy():
-        with urllib.request.urlopen(path, timeout=60) as r, open(target, "wb") as f:
-            shutil.copyfileobj(r, f)
 
-    with_retries(copy)
-    return target
+def present(path: str) -> bool:
+    """Whether a file is there: local, http(s), or of a file system that pyarrow knows."""
+    if _remote(path):
+        try:
+            with urllib.request.urlopen(urllib.request.Request(path, method="HEAD"), timeout=60):
+                return True
+        except urllib.error.HTTPError as e:
+            if e.code in (403, 404, 410):
+                return False
+            raise
+    if "://" in path and not path.startswith("file://"):
+        from pyarrow import fs
+
+        system, inner = fs.FileSystem.from_uri(path)
+        return system.get_file_info(inner).type == fs.FileType.File
+    return os.path.exists(path.removeprefix("file://"))
+
+
+def fetched(spark: SparkSession, path: str, folder: str) -> str:
+    """A path that all executors can read: http(s) files are copied into the shared folder, others are read in place."""
+    if not _remote(path):
+        return path
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{os.path.basename(urllib.parse.urlparse(path).path)}")
+    with urllib.request.urlopen(path, timeout=60) as r:
+        out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+        try:
+            while piece := r.read(1 << 20):
+                out.write(bytearray(piece))
+        finally:
+            out.close()
+    return target.toString()

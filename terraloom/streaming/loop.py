@@ -9,6 +9,7 @@ Rows are ordered by edit time, then origin, then version; files may hold late ed
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,17 +22,18 @@ from ..operators.edges import edges
 from ..operators.history import all_histories
 from ..operators.render import geojson, write_geojson
 from ..schema import ENTITY
-from ..scratch import WorkTables
+from ..scratch import WorkTables, dropped_at_end
 from ..sources.changes import change_rows, read_changes
-from ..sources.paths import numbers, path_of, with_retries
-from ..sources.store import Index, lookup, read_store, write_store
+from ..sources.paths import fetched, numbers, path_of, with_retries
+from ..sources.store import Index, WithEdges, lookup, merge_files, read_store, write_store
 
 _DELTA = StructType([*ENTITY.fields, StructField("seq", LongType())])
 
 
 class Loop:
-    def __init__(self, spark: SparkSession, root: str, compact_every: int = 5):
-        self.spark, self.root, self.compact_every = spark, root.rstrip("/"), compact_every
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = 5, most_files: int = 16):
+        """most_files: of a partition of the store, before a compaction merges them."""
+        self.spark, self.root, self.compact_every, self.most_files = spark, root.rstrip("/"), compact_every, most_files
         self.index = Index(spark, f"{self.root}/index")
 
     def create(self, snapshot: DataFrame) -> None:
@@ -47,24 +49,34 @@ class Loop:
         return self.spark.read.schema(_DELTA).option("basePath", f"{self.root}/delta").parquet(f"{self.root}/delta")
 
     def step(self, seq: int, update: DataFrame) -> DataFrame:
-        """Take in one file's rows; returns its features (type, id, mode, value) as written."""
-        tmp = WorkTables(self.spark, "step")
+        """Take in one file's rows; returns its features (type, id, mode, value), as they are below ``features``."""
         names = [f.name for f in ENTITY.fields]
-        update = tmp.keep(update.select(*names), "update")
-        memory = self._delta().where(F.col("seq") < seq).select(*names)
-        tmp_edges = tmp.keep(new_index_edges(self.index.read(), edges(update)), "edges")
-        index = tmp.keep(self.index.read().unionByName(tmp_edges).distinct(), "index")
-        want = tmp.keep(wanted(index, update).distinct(), "wanted")
-        rows = augment(update, memory, lookup(read_store(self.spark, f"{self.root}/store"), want), want)
-        made = tmp.keep(geojson(all_histories(rows)), "features")
-        # State first, features last: a repeated step finds its own edges and delta and replaces them.
-        update.write.mode("overwrite").parquet(f"{self.root}/delta/seq={seq}")
-        self.index.append(tmp_edges)
-        write_geojson(made, f"{self.root}/features/seq={seq}")
-        return made
+        with dropped_at_end():
+            tmp = WorkTables(self.spark, "step")
+            update = tmp.keep(update.select(*names), "update")
+            memory = self._delta().where(F.col("seq") < seq).select(*names)
+            fresh = tmp.keep(new_index_edges(self.index, edges(update)), "edges")
+            want = tmp.keep(wanted(WithEdges(self.index, fresh), update).distinct(), "wanted")
+            rows = augment(update, memory, lookup(read_store(self.spark, f"{self.root}/store"), want), want)
+            made = tmp.keep(geojson(all_histories(rows)), "features")
+            # State first, features last: a repeated step finds its own edges and delta and replaces them.
+            update.write.mode("overwrite").parquet(f"{self.root}/delta/seq={seq}")
+            self.index.append(fresh)
+            write_geojson(made, f"{self.root}/features/seq={seq}")
+        about = F.from_json("value", "properties STRUCT<type: STRING, id: BIGINT, visible: BOOLEAN>")["properties"]
+        lines = self.spark.read.text(f"{self.root}/features/seq={seq}").select("value", about.alias("p"))
+        return lines.select("p.type", "p.id", F.when(F.col("p.visible"), "in").otherwise("before").alias("mode"), "value")
+
+    def _taken(self, seq: int) -> None:
+        """Called after each step of a run or stream: every ``compact_every`` steps the deltas go to the store."""
+        if seq % self.compact_every == 0:
+            self.compact(seq)
 
     def compact(self, upto: int) -> None:
-        """Move the deltas of steps up to ``upto`` into the store; a repeated row is harmless, as rows are told apart by key and version."""
+        """Move the deltas of steps up to ``upto`` into the store, and merge partitions of many files.
+
+        A repeated row is harmless, as rows are told apart by key and version.
+        """
         delta = self._delta().where(F.col("seq") <= upto)
         done = [r.seq for r in delta.select("seq").distinct().collect()]
         if not done:
@@ -74,6 +86,15 @@ class Loop:
         for seq in done:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/delta/seq={seq}")
             path.getFileSystem(conf).delete(path, True)
+        merge_files(self.spark, f"{self.root}/store", self.most_files)
+
+    def _file(self, seq: int, path: str, **again) -> None:
+        """A step over one change file, tried again while it can't be read; remote files are copied to the shared folder."""
+        with dropped_at_end():
+            tmp = WorkTables(self.spark, "file")
+            read = lambda: tmp.keep(read_changes(self.spark, fetched(self.spark, path, f"{tmp.root}/copy")), f"rows-{uuid.uuid4().hex}")
+            self.step(seq, with_retries(read, **({"errors": (Exception,)} | again)))
+        self._taken(seq)
 
     def run(self, template: str, start: int, end: int, attempts: int = 9, sleep: Callable | None = None) -> int:
         """Steps start..end (end -1: for ever) over numbered change files; number of steps taken.
@@ -82,12 +103,8 @@ class Loop:
         """
         done = 0
         for seq in numbers(start, end):
-            again = {"attempts": attempts, "errors": (Exception,)} | ({"sleep": sleep} if sleep else {})
-            update = with_retries(lambda s=seq: WorkTables(self.spark, "file").keep(read_changes(self.spark, path_of(template, s)), "rows"), **again)
-            self.step(seq, update)
+            self._file(seq, path_of(template, seq), **({"attempts": attempts} | ({"sleep": sleep} if sleep else {})))
             done += 1
-            if done % self.compact_every == 0:
-                self.compact(seq)
         return done
 
     def follow(self, template: str, start: int, checkpoint: str, end: int = -1, interval: str = "1 seconds"):
@@ -99,7 +116,7 @@ class Loop:
 
         def batch(df: DataFrame, _: int) -> None:
             for r in df.orderBy("number").collect():  # one number
-                self.step(r.number, with_retries(lambda p=r.path: WorkTables(self.spark, "file").keep(read_changes(self.spark, p), "rows"), errors=(Exception,)))
+                self._file(r.number, r.path)
 
         return numbered.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
 
@@ -108,6 +125,7 @@ class Loop:
 
         def batch(df: DataFrame, batch_id: int) -> None:
             self.step(first + batch_id, change_rows(df))
+            self._taken(first + batch_id)
 
         return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..sources.paths import path_of
+from ..sources.paths import path_of, present
 
 SCHEMA = StructType([StructField("number", LongType()), StructField("path", StringType())])
 
@@ -28,7 +27,7 @@ class NumberedFiles(DataSource):
 
 
 class _Reader(SimpleDataSourceStreamReader):
-    """Offsets are the next number to give out; a local file that isn't there yet is waited for."""
+    """Offsets are the next number to give out; a file that isn't there yet, local or remote, is waited for."""
 
     def __init__(self, template: str, start: int, end: int):
         self.template, self.start, self.end = template, start, end
@@ -44,8 +43,7 @@ class _Reader(SimpleDataSourceStreamReader):
         if self.end != -1 and number > self.end:
             return iter([]), start
         row = self._row(number)
-        local = row[1].removeprefix("file://")
-        if local.startswith("/") and not os.path.exists(local):
+        if not present(row[1]):
             return iter([]), start
         return iter([row]), {"next": number + 1}
 

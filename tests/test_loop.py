@@ -15,7 +15,8 @@ from terraloom.operators.augment import latest_origin, with_origin
 from terraloom.schema import STORED, entities
 from terraloom.sources import paths
 from terraloom.sources.changes import read_changes
-from terraloom.sources.store import Index, lookup, read_snapshot, read_store, write_store
+from terraloom.sources import store
+from terraloom.sources.store import Index, lookup, merge_files, read_snapshot, read_store, write_store
 from terraloom.streaming.loop import Loop, change_stream
 
 
@@ -246,3 +247,108 @@ def test_paths(spark):
     with pytest.raises(OSError):
         paths.with_retries(bad, sleep=waits.append)
     assert waits == [2.0, 4.0, 8.0, 16.0, 32.0, 64.0, 128.0, 256.0]
+
+
+def test_an_index_is_mended_after_a_stop_between_its_copies(spark, monkeypatch):
+    i = Index(spark, tempfile.mkdtemp())
+    make = lambda *e: spark.createDataFrame(e, "a long, b long")
+    i.replace(make((1, 2)))
+    real = Index._write
+
+    def stops(self, key, edges, mode):
+        if key == "b":
+            raise OSError("stopped")
+        real(self, key, edges, mode)
+
+    monkeypatch.setattr(Index, "_write", stops)
+    with pytest.raises(OSError):
+        i.append(make((1, 2), (3, 4)))
+    monkeypatch.setattr(Index, "_write", real)
+    i.append(make((1, 2), (3, 4)))
+    assert sorted(map(tuple, i.read("a").collect())) == sorted(map(tuple, i.read("b").collect())) == [(1, 2), (3, 4)]
+
+
+def test_look_ups_prune_the_copy_of_their_key(spark):
+    i = Index(spark, tempfile.mkdtemp())
+    i.replace(spark.range(200).selectExpr("id AS a", "id * 7 % 50 AS b"))
+    keys = spark.createDataFrame([(3,), (49,)], "v long")
+    for by in ("a", "b"):
+        got = i.about(by, keys)
+        assert sorted(map(tuple, got.collect())) == sorted((a, a * 7 % 50) for a in range(200) if (a if by == "a" else a * 7 % 50) in (3, 49))
+        assert f"In({by}, [3,49])" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_partitions_of_many_files_are_merged(spark):
+    at = f"{tempfile.mkdtemp()}/s"
+    row = lambda i, v: entities(spark.createDataFrame([(i, "node", v)], "id long, type string, version long"))
+    write_store(row(1, 0), at, "overwrite")
+    for v in range(1, 4):
+        write_store(row(1, v), at)
+    write_store(row(1, 3).unionByName(row(2, 1)), at)
+    assert merge_files(spark, at, most=3) == 1 and merge_files(spark, at, most=3) == 0
+    assert sorted((r.id, r.version) for r in read_store(spark, at).collect()) == [(1, 0), (1, 1), (1, 2), (1, 3), (2, 1)]
+
+
+def test_a_step_leaves_no_work_tables(spark):
+    w = World(spark, BASE)
+    from terraloom.scratch import shared_folder
+
+    work = shared_folder(spark).removeprefix("file://") + "/work"
+    before = set(os.listdir(work))
+    w.apply(modify=node(1, 2, 3, 3))
+    assert set(os.listdir(work)) <= before
+
+
+def test_index_in_a_database(spark):
+    url, given = "jdbc:derby:memory:terraloom;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    make = lambda *e: spark.createDataFrame(e, "a long, b long")
+    store.write_jdbc_index(make(*[(i, i % 9) for i in range(3000)], (5, 5)), url, "edges", given)
+    keys = spark.range(1, 2500).selectExpr("id AS v")
+    assert store.lookup_jdbc_index(spark, url, "edges", given, "a", keys).rdd.getNumPartitions() == 3
+    assert store.lookup_jdbc_index(spark, url, "edges", given, "a", keys).count() == 2499
+    assert sorted(map(tuple, store.lookup_jdbc_index(spark, url, "edges", given, "b", make((0, 8)).select(F.col("b").alias("v"))).collect())) == [(i, 8) for i in range(3000) if i % 9 == 8]
+    store.append_jdbc_index(make((1, 1), (2, 2), (7, 70), (9000, 1)), url, "edges", given)
+    whole = store.read_jdbc_index(spark, url, "edges", given)
+    assert whole.count() == 3002 and whole.rdd.getNumPartitions() > 1
+    names = spark.read.jdbc(url, "(SELECT COUNT(*) n FROM SYS.SYSCONGLOMERATES WHERE CONGLOMERATENAME IN ('IDX_EDGES_A', 'IDX_EDGES_B')) t", properties=given).first()
+    assert names[0] == 2
+    with pytest.raises(ValueError):
+        store.write_jdbc_index(make((1, 1)), url, "x; DROP TABLE edges", given)
+
+
+def test_remote_files(spark):
+    import functools
+    import http.server
+    import threading
+
+    folder = tempfile.mkdtemp()
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), functools.partial(http.server.SimpleHTTPRequestHandler, directory=folder))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        url = f"http://127.0.0.1:{server.server_address[1]}/001.osc.gz"
+        assert not paths.present(url) and not paths.present(f"{folder}/001.osc.gz")
+        with gzip.open(f"{folder}/001.osc.gz", "wt") as f:
+            f.write(change(create=node(1, 1, 2, 3)))
+        assert paths.present(url) and paths.present(f"file://{folder}/001.osc.gz")
+        copy = paths.fetched(spark, url, f"file://{tempfile.mkdtemp()}")
+        assert [r.id for r in read_changes(spark, copy).collect()] == [1] and paths.fetched(spark, "/x", "y") == "/x"
+    finally:
+        server.shutdown()
+
+
+def test_late_edits_are_ordered_by_their_time(spark):
+    w = World(spark, node(1, 1, 0, 0) + node(2, 1, 9, 9))
+    w.apply(modify=node(1, 5, 5, 5))
+    out = w.apply(modify=node(1, 3, 3, 3))  # an edit older than the one before
+    assert out["node", 1, True]["coordinates"] == [3.0, 3.0] and out["node", 1, False]["coordinates"] == [5.0, 5.0]
+
+
+def test_external_table(spark):
+    at = tempfile.mkdtemp()
+    rows = entities(spark.createDataFrame([(1, "node"), (5000, "way")], "id long, type string"))
+    write_store(rows, f"{at}/t", "overwrite", table="terraloom_entities")
+    try:
+        assert spark.sql("SELECT count(*) FROM terraloom_entities WHERE p = 1").first()[0] == 1
+        assert read_store(spark, f"{at}/t").count() == 2
+    finally:
+        spark.sql("DROP TABLE terraloom_entities")
