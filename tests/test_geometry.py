@@ -88,7 +88,7 @@ def test_what_does_not_count():
     ring = W(square(0, 0, 4))
     assert assembly.multipolygon([2, 2], ["outer", "outer"], [ring, None]) is None
     assert assembly.multipolygon([2], ["outer"], [W(line((0, 0), (1, 1)))]) is None
-    assert assembly.multipolygon([2, 2], ["outer", "outer"], [ring, W(square(1, 1, 5))]) is None  # crossing rings
+    assert area_of(assembly.multipolygon([2, 2], ["outer", "outer"], [ring, W(square(1, 1, 5))])) == 16 + 25 - 9  # crossing rings
     g = assembly.multipolygon([2, 1, 2], ["outer", "", "label"], [ring, wkb.dump(wkb.POINT, (1, 1)), W(square(50, 50, 1))])
     assert wkb.load(g)[0] == wkb.POLYGON and area_of(g) == 16
     assert area_of(assembly.multipolygon([2], [None], [wkb.dump(wkb.POLYGON, [square(0, 0, 3), square(1, 1, 1)])])) == 9  # the exterior counts
@@ -118,3 +118,31 @@ def test_st_functions(spark):
     x, y = wkb.load(bytes(out[0].m))[1]
     assert abs(x - 111319.49079327358) < 1e-6 and abs(y - 222684.20850554405) < 1e-6
     assert np.allclose(geo.unmercator(geo.mercator(np.array([[12.5, -60.25]]))), [[12.5, -60.25]])
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_union_of_any_rings(seed):
+    """Random overlapping, touching and nested shapes on a grid, and turned ones off it, against point tests."""
+    rng = np.random.default_rng(seed)
+    rings = []
+    for _ in range(rng.integers(2, 9)):
+        x, y, w, h = rng.integers(0, 9, 2).tolist() + rng.integers(1, 6, 2).tolist()
+        r = line((x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y))
+        if seed % 3 == 2:
+            a = rng.uniform(0, 3)
+            r = r @ np.array([[np.cos(a), -np.sin(a)], [np.sin(a), np.cos(a)]])
+            r[-1] = r[0]
+        rings.append(r[::-1] if rng.random() < 0.5 else r)
+    shells, holes = assembly.dissolve(rings)
+    for p in rng.uniform(-12, 15, (400, 2)):
+        want = any(assembly.inside(p, r) > 0 for r in rings)
+        assert (sum(assembly.inside(p, s) > 0 for s in shells) - sum(assembly.inside(p, h) > 0 for h in holes) == 1) == want
+
+
+def test_overlapping_outers_are_joined():
+    g = assembly.multipolygon([2, 2, 2], ["outer", "outer", "inner"], [W(square(0, 0, 4)), W(square(2, 2, 4)), W(square(1, 1, 0.5))])
+    assert area_of(g) == 16 + 16 - 4 - 0.25
+    kind, data = wkb.load(g)
+    assert kind == wkb.POLYGON and len(data) == 2
+    apart = assembly.multipolygon([2, 2], ["outer", "outer"], [W(square(0, 0, 1)), W(square(1, 1, 1))])  # touch at a corner
+    assert area_of(apart) == 2 and wkb.load(apart)[0] == wkb.MULTIPOLYGON
