@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo, keys, registry, tags
-from ..geometry import wkb
 from ..operators import augment as aug
 from ..operators import closure, edges, history, render, snapshots
+from ..operators.augment import with_origin
 from ..schema import NODE, RELATION, STORAGE, WAY, entities
 from ..scratch import WorkTables
+from ..sources.changes import CHANGE_FILE
 from ..sources.paths import sequence_path
 from ..sources.store import lookup, read_store, write_store
+from ..streaming.loop import Loop
 from . import adapter as ad
 
 QUERIES: dict = {}
@@ -138,10 +140,9 @@ def tag_merge(spark, sf_dir):
     return _tagged(spark, sf_dir).select("id", F.array_join(F.transform(merged, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("merged"))
 
 
-@query(f"""WITH {_TAGGED} SELECT id, CASE WHEN kind IS NULL THEN '' ELSE kind END AS kind FROM t""")
+@query(f"""WITH {_TAGGED} SELECT id, '{{' || to_json(k) || ':' || to_json(v) || coalesce(',"area":' || to_json(area), '') || coalesce(',"type":' || to_json(kind), '') || '}}' AS json FROM t""")
 def tag_json(spark, sf_dir):
-    j = tags.tags_json(F.col("tags"))
-    return _tagged(spark, sf_dir).select("id", F.coalesce(F.get_json_object(j, "$.type"), F.lit("")).alias("kind"))
+    return _tagged(spark, sf_dir).select("id", tags.tags_json(F.col("tags")).alias("json"))
 
 
 @query(f"""WITH {_MEM} SELECT id, row_number() OVER (PARTITION BY id ORDER BY ref) - 1 AS pos, CASE mt WHEN 'node' THEN 1 WHEN 'way' THEN 2 ELSE 3 END AS code, ref,
@@ -201,12 +202,12 @@ def _index(spark, sf_dir):
     return WorkTables(spark, "index").keep(closure_full(spark, sf_dir), "index")
 
 
-_CHANGED = "v AS (SELECT p_partkey * 4 AS v FROM part WHERE p_partkey % 50 = 0 UNION ALL SELECT o_orderkey * 4 + 1 FROM orders WHERE o_orderkey % 500 = 0)"
+_CHANGED = f"""v AS (SELECT p_partkey * 4 AS v FROM part WHERE p_partkey % 10 = 0 UNION ALL SELECT o_orderkey * 4 + 1 FROM orders WHERE o_orderkey % 50 = 0
+    UNION ALL SELECT DISTINCT o_custkey * 4 + 2 FROM orders WHERE o_custkey % 40 = 0 UNION ALL SELECT DISTINCT ({ad.REGION} + n_regionkey) * 4 + 2 FROM nation WHERE n_regionkey = 2)"""
 
 
 def _changed(spark, sf_dir):
-    part, order = ad.table(spark, sf_dir, "part"), ad.table(spark, sf_dir, "orders")
-    return part.where("p_partkey % 50 = 0").select(keys.pack(F.col("p_partkey"), F.lit(NODE)).alias("v")).unionAll(order.where("o_orderkey % 500 = 0").select(keys.pack(F.col("o_orderkey"), F.lit(WAY))))
+    return aug.changed_keys(ad.update_rows(spark, sf_dir))
 
 
 @query(f"WITH RECURSIVE {_CLOSURE}, {_CHANGED} SELECT DISTINCT b FROM cl WHERE a <> b AND a IN (SELECT v FROM v)")
@@ -219,33 +220,31 @@ def affected_edges(spark, sf_dir):
     return aug.affected_edges(_index(spark, sf_dir), _changed(spark, sf_dir))
 
 
-#: The batch of one change: two nodes move, and an order is edited.
-_SMALL = "(type = 'node' AND id IN (7, 20)) OR (type = 'way' AND id = 50)"
-_WANTED = f"""{_CLOSURE}, u AS (SELECT unnest([28, 80, 201]) AS v), c AS (SELECT v FROM u UNION SELECT b FROM cl WHERE a <> b AND a IN (SELECT v FROM u)),
+_WANTED = f"""{_CLOSURE}, {_CHANGED}, c AS (SELECT v FROM v UNION SELECT b FROM cl WHERE a <> b AND a IN (SELECT v FROM v)),
     w AS (SELECT v FROM c UNION SELECT a FROM cl WHERE a <> b AND b IN (SELECT v FROM c)),
     wt AS (SELECT v // 4 AS id, ['node', 'way', 'relation'][v % 4 + 1] AS type, v % 4 AS code FROM w)"""
 
 
-def _small_batch(spark, sf_dir):
+def _batch(spark, sf_dir):
+    """The snapshot, the batch of changes, and what is wanted for it."""
     tmp = WorkTables(spark, "batch")
     snap = tmp.keep(ad.snapshot(spark, sf_dir), "snapshot")
-    update = snap.where(_SMALL).withColumns({"version": F.lit(2).cast("long"), "timestamp": F.lit(ad.NEW).cast("timestamp")})
+    update = tmp.keep(ad.update_rows(spark, sf_dir), "update")
     index = tmp.keep(closure.transitive_closure(edges.edges(snap)), "index")
     return snap, update, tmp.keep(aug.wanted(index, update), "wanted")
 
 
 @query(f"WITH RECURSIVE {_WANTED} SELECT xor(({_LEAD})::BIGINT, code::BIGINT) AS p, id, type FROM wt")
 def augment_wanted_triples(spark, sf_dir):
-    return _small_batch(spark, sf_dir)[2]
+    return _batch(spark, sf_dir)[2]
 
 
-@query(f"""WITH RECURSIVE {_WANTED} SELECT id, type, 1::BIGINT AS version, 'storage' AS origin FROM wt
-    UNION ALL SELECT v // 4, ['node', 'way', 'relation'][v % 4 + 1], 2, 'update' FROM u""")
+@query(f"""WITH RECURSIVE {_WANTED} SELECT id, type, 1::BIGINT AS version, CASE WHEN type = 'node' THEN 'memory' ELSE 'storage' END AS origin FROM wt
+    UNION ALL SELECT v // 4, ['node', 'way', 'relation'][v % 4 + 1], 2, 'update' FROM v""")
 def augment_rows(spark, sf_dir):
-    snap, update, want = _small_batch(spark, sf_dir)
+    snap, update, want = _batch(spark, sf_dir)
     memory = snap.where("type = 'node'")  # what a former step left unflushed is also stored by now
-    rows = aug.augment(update, memory, snap, want)
-    return rows.select("id", "type", "version", F.when(F.col("origin") == "memory", STORAGE).otherwise(F.col("origin")).alias("origin"))
+    return aug.augment(update, memory, snap, want).select("id", "type", "version", "origin")
 
 
 # --- histories ----------------------------------------------------------------------------
@@ -341,9 +340,23 @@ def histories_by_id(spark, sf_dir):
 # --- geometry -----------------------------------------------------------------------------
 
 
-@query(f"SELECT p_partkey AS id, 'POINT (' || ({_X('p_partkey')}::DECIMAL(10,2) / 100)::DECIMAL(10,7)::VARCHAR || ' ' || ({_Y('p_partkey')}::DECIMAL(10,2) / 100)::DECIMAL(9,7)::VARCHAR || ')' AS wkt FROM part")
+def _degrees(hundredths: str) -> str:
+    return f"CASE WHEN {hundredths} % 100 = 0 THEN ({hundredths} // 100)::VARCHAR ELSE ({hundredths} / 100.0)::DOUBLE::VARCHAR END"
+
+
+_XY = lambda c: f"{_degrees(_X(c))} || ' ' || {_degrees(_Y(c))}"
+
+
+def _snapshot_wkt(spark, sf_dir, types):
+    """(type, id, wkt) of the whole snapshot's entities of these types, as the engine draws them."""
+    tmp = WorkTables(spark, "drawn")
+    rows = tmp.keep(with_origin(ad.snapshot(spark, sf_dir), STORAGE).where(F.col("type").isin(*types)), "rows")
+    return render.geometries(history.all_histories(rows)).where("mode = 'before'").select("type", "id", geo.st_astext("wkb").alias("wkt"))
+
+
+@query(f"SELECT p_partkey AS id, 'POINT (' || {_XY('p_partkey')} || ')' AS wkt FROM part")
 def node_point_wkt(spark, sf_dir):
-    return ad.nodes(spark, sf_dir).select("id", F.concat(F.lit("POINT ("), F.col("lon").cast("string"), F.lit(" "), F.col("lat").cast("string"), F.lit(")")).alias("wkt"))
+    return ad.nodes(spark, sf_dir).select("id", geo.st_astext(render._point_wkb(F.col("lon").cast("double"), F.col("lat").cast("double"))).alias("wkt"))
 
 
 def _points(spark, sf_dir):
@@ -354,25 +367,22 @@ def _points(spark, sf_dir):
     return at.groupBy("id").agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "x", "y")))).alias("p"))
 
 
-_PT = f"{_X('ref')}::VARCHAR || ' ' || {_Y('ref')}::VARCHAR"
-
-
-def _line(p):
-    return F.concat(F.lit("("), F.array_join(F.transform(p, lambda q: F.concat(q["x"].cast("string"), F.lit(" "), q["y"].cast("string"))), ", "), F.lit(")"))
+#: Lines of the ways: the text within their parentheses, and whether they are drawn as polygons.
+_LINES = f"""{_ND}, l AS (SELECT o_orderkey AS id, '(' || string_agg({_XY('ref')}, ', ' ORDER BY pos) || ')' AS line,
+        o_orderkey % 4 = 0 AND coalesce(arg_min({_XY('ref')}, pos) = arg_max({_XY('ref')}, pos), false) AS polygon FROM orders LEFT JOIN nd ON nd.id = o_orderkey GROUP BY 1),
+    g AS (SELECT id, line, polygon, CASE WHEN polygon THEN 'POLYGON (' || line || ')' ELSE 'LINESTRING ' || coalesce(line, 'EMPTY') END AS wkt FROM l)"""
 
 
-@query(f"WITH {_ND} SELECT o_orderkey AS id, coalesce('LINESTRING (' || string_agg({_PT}, ', ' ORDER BY pos) || ')', 'LINESTRING EMPTY') AS wkt FROM orders LEFT JOIN nd ON nd.id = o_orderkey GROUP BY 1")
+@query(f"WITH {_LINES} SELECT id, wkt FROM g")
 def way_linestring_wkt(spark, sf_dir):
-    return _points(spark, sf_dir).select("id", F.when(F.size("p") > 0, F.concat(F.lit("LINESTRING "), _line(F.col("p")))).otherwise("LINESTRING EMPTY").alias("wkt"))
+    return _snapshot_wkt(spark, sf_dir, (NODE, WAY)).where(F.col("type") == WAY).select("id", "wkt")
 
 
-@query(f"""WITH {_ND}, l AS (SELECT id, '(' || string_agg({_PT}, ', ' ORDER BY pos) || ')' AS line FROM nd GROUP BY id)
-    SELECT o_custkey AS id, 'MULTILINESTRING (' || string_agg(line, ', ' ORDER BY o_orderkey) || ')' AS wkt FROM orders JOIN l ON l.id = o_orderkey GROUP BY 1""")
+@query(f"""WITH {_LINES} SELECT o_custkey AS id, CASE WHEN bool_or(polygon) THEN 'GEOMETRYCOLLECTION (' || string_agg(wkt, ', ' ORDER BY o_orderkey) || ')'
+    ELSE 'MULTILINESTRING (' || string_agg(coalesce(line, 'EMPTY'), ', ' ORDER BY o_orderkey) || ')' END AS wkt FROM orders JOIN g ON g.id = o_orderkey WHERE o_custkey % 4 IN (1, 3) GROUP BY 1""")
 def relation_multiline_wkt(spark, sf_dir):
-    lines = _points(spark, sf_dir).where(F.size("p") > 0).select(F.col("id").alias("ref"), _line(F.col("p")).alias("line"))
-    m = ad.relations(spark, sf_dir).where(F.col("id") < ad.NATION).select("id", F.posexplode("members").alias("pos", "m")).select("id", "pos", F.col("m.ref").alias("ref"))
-    parts = m.join(lines, "ref").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("l"))
-    return parts.select("id", F.concat(F.lit("MULTILINESTRING ("), F.array_join(F.col("l.line"), ", "), F.lit(")")).alias("wkt"))
+    """Relations of ways that aren't asked to be polygons, which SQL can't assemble."""
+    return _snapshot_wkt(spark, sf_dir, (NODE, WAY, RELATION)).where((F.col("type") == RELATION) & (F.col("id") < ad.NATION) & (F.col("id") % 4).isin(1, 3)).select("id", "wkt")
 
 
 @query(f"""WITH {_ND}, p AS (SELECT id, pos, {_X('ref')} AS x, {_Y('ref')} AS y, lead({_X('ref')}) OVER w AS x2, lead({_Y('ref')}) OVER w AS y2, first_value(ref) OVER w AS f, ref FROM nd WINDOW w AS (PARTITION BY id ORDER BY pos)),
@@ -398,9 +408,8 @@ def mercator_xy(spark, sf_dir):
 def st_functions(spark, sf_dir):
     i = F.col("p_partkey")
     p = ad.table(spark, sf_dir, "part").select(i.alias("id"), geo.st_point(F.when(i % 9 != 0, (i % 180).cast("double")), (i % 90).cast("double")).alias("g"))
-    m = F.unbase64(F.base64(geo.st_transform(F.col("g"))))
-    east = F.udf(lambda b: None if b is None else float(wkb.load(b)[1][0]), "double")
-    return p.select("id", geo.st_astext("g").alias("wkt"), geo.st_isempty("g").alias("empty"), geo.st_isvalid("g").alias("valid"), F.round(east(m), 2).alias("east"))
+    east = F.regexp_extract(geo.st_astext(geo.st_transform(F.col("g"))), r"\(([^ ]+) ", 1).try_cast("double")
+    return p.select("id", geo.st_astext("g").alias("wkt"), geo.st_isempty("g").alias("empty"), geo.st_isvalid("g").alias("valid"), F.round(east, 2).alias("east"))
 
 
 def _line_wkb(*points):
@@ -446,10 +455,55 @@ def geojson_lines(spark, sf_dir):
 
 @query()
 def augmented_diff(spark, sf_dir):
-    """GeoJSON of everything that one batch of changes touches, of all types; SQL has no geometry to compare with."""
+    """GeoJSON of everything that one batch of changes touches, of all types; SQL covers what augmented_ways, augmented_routes and geojson_lines give of it."""
     return render.geojson(_histories(spark, sf_dir))
 
 
+_PLACE = f"{_X('ref')} * 100000 + {_Y('ref')}"
+_WAY_LINES = f"""{_WFLAGS},
+    seen AS (SELECT n.id, 'in' AS mode FROM n WHERE now AND alive OR NOT now AND old UNION ALL SELECT n.id, 'before' FROM n WHERE old),
+    ws AS (SELECT wh.id, 'in' AS mode FROM wh WHERE now IS NULL AND before IS NOT NULL OR NOT (now = 2 AND wh.id % 100 = 0)
+        UNION ALL SELECT wh.id, 'before' FROM wh WHERE before IS NOT NULL),
+    wl AS (SELECT ws.id, ws.mode, coalesce('[' || string_agg('[' || ({_X('ref')} / 100.0)::DOUBLE || ',' || ({_Y('ref')} / 100.0)::DOUBLE || ']', ',' ORDER BY pos) || ']', '[]') AS line,
+        ws.id % 4 = 0 AND coalesce(arg_min({_PLACE}, pos) = arg_max({_PLACE}, pos), false) AS polygon
+        FROM ws LEFT JOIN (SELECT nd.id, mode, pos, ref FROM nd JOIN seen ON seen.id = nd.ref) v ON v.id = ws.id AND v.mode = ws.mode GROUP BY ws.id, ws.mode),
+    wj AS (SELECT id, mode, polygon, line, CASE WHEN polygon THEN '{{"type":"Polygon","coordinates":[' || line || ']}}' ELSE '{{"type":"LineString","coordinates":' || line || '}}' END AS shape FROM wl)"""
+
+
+def _feature(kind: str, tags_: str) -> str:
+    """A GeoJSON line of (id, shape, version, vis)."""
+    time = "CASE WHEN version = 2 THEN '2024-01-01T00:00:00Z' ELSE '2020-01-01T00:00:00Z' END"
+    return f"""'{{"type":"Feature","geometry":' || shape || ',"properties":{{"id":' || id || ',"type":"{kind}","tags":{{' || {tags_} || '}},"changeset":null,"timestamp":"' || {time} || '","uid":null,"user":null,"version":' || version || ',"visible":' || vis || '}}}}'"""
+
+
+_WAY_FEATURE = _feature(WAY, """'"' || CASE WHEN id % 4 = 0 THEN 'building' ELSE 'highway' END || '":"yes"'""")
+_ROUTE_FEATURE = _feature(RELATION, """'"type":"' || CASE WHEN id % 4 = 1 THEN 'route' ELSE 'site' END || '"'""")
+
+
+@query(f"""WITH {_WAY_LINES},
+    f AS (SELECT id, 'in' AS mode, now AS version, 'true' AS vis FROM wh WHERE now IS NOT NULL AND NOT (now = 2 AND id % 100 = 0) UNION ALL SELECT id, 'before', before, 'false' FROM wh WHERE now IS NOT NULL AND before IS NOT NULL)
+    SELECT id, mode, {_WAY_FEATURE} AS value FROM f JOIN wj USING (id, mode)""")
+def augmented_ways(spark, sf_dir):
+    """The ways among what one batch of changes touches: lines, and polygons of closed ones."""
+    tmp = WorkTables(spark, "augmented")
+    rows = tmp.keep(ad.working_set(spark, sf_dir).where(F.col("type") != RELATION), "rows")
+    nodes = tmp.keep(history.node_histories(rows), "nodes")
+    ways = tmp.keep(history.way_histories(rows, nodes), "ways")
+    return render.geojson(history.Histories(nodes, ways, nodes.limit(0))).where(F.col("type") == WAY).select("id", "mode", "value")
+
+
+@query(f"""WITH RECURSIVE {_RFLAGS.replace(_WFLAGS, _WAY_LINES)},
+    f AS (SELECT id, 'in' AS mode, now AS version, 'true' AS vis FROM rh WHERE now IS NOT NULL UNION ALL SELECT id, 'before', before, 'false' FROM rh WHERE now IS NOT NULL AND before IS NOT NULL),
+    p AS (SELECT f.id, f.mode, any_value(version) AS version, any_value(vis) AS vis, bool_or(polygon) AS mixed, coalesce(string_agg(line, ',' ORDER BY ref) FILTER (WHERE line IS NOT NULL), '') AS lines, coalesce(string_agg(shape, ',' ORDER BY ref) FILTER (WHERE line IS NOT NULL), '') AS shapes
+        FROM f JOIN mem ON mem.id = f.id AND mt = 'way' LEFT JOIN wj ON wj.id = ref AND wj.mode = f.mode WHERE f.id < {ad.NATION} AND f.id % 4 IN (1, 3) GROUP BY f.id, f.mode),
+    s AS (SELECT *, CASE WHEN mixed OR lines = '' THEN '{{"type":"GeometryCollection","geometries":[' || shapes || ']}}' ELSE '{{"type":"MultiLineString","coordinates":[' || lines || ']}}' END AS shape FROM p)
+    SELECT id, mode, {_ROUTE_FEATURE} AS value FROM s""")
+def augmented_routes(spark, sf_dir):
+    """The relations of ways among what one batch of changes touches, but those asked to be polygons."""
+    made = render.geojson(_histories(spark, sf_dir)).where((F.col("type") == RELATION) & (F.col("id") < ad.NATION) & (F.col("id") % 4).isin(1, 3))
+    return made.select("id", "mode", "value")
+
+
 # --- streams, snapshots, storage ----------------------------------------------------------
 
 
@@ -474,22 +528,45 @@ def stream_state(spark, sf_dir):
     return history.latest(rows).select("id", "version", "visible")
 
 
-@query(f"""WITH {_N} SELECT CASE WHEN NOT old THEN 'create' WHEN now AND NOT alive THEN 'delete' ELSE 'modify' END AS action, id FROM n
-    WHERE (NOT old AND (NOT now OR alive)) OR (old AND now)""")
+@query(f"""WITH {_N}, {_MEM}, every AS (
+        SELECT 'node' AS type, id, old, now, now AND NOT alive AS gone FROM n
+        UNION ALL SELECT 'way', o_orderkey, o_orderkey % 13 <> 3, o_orderkey % 50 = 0, o_orderkey % 100 = 0 FROM orders
+        UNION ALL SELECT DISTINCT 'relation', id, true, (id < {ad.NATION} AND id % 40 = 0) OR id = {ad.REGION + 2}, false FROM mem)
+    SELECT CASE WHEN NOT old THEN 'create' WHEN gone THEN 'delete' ELSE 'modify' END AS action, type, id FROM every WHERE (NOT old AND NOT gone) OR (old AND now)""")
 def snapshot_diff(spark, sf_dir):
-    old = ad.stored_rows(spark, sf_dir).where(F.col("type") == NODE)
-    every = entities(ad.nodes(spark, sf_dir))
-    moved = ad.update_rows(spark, sf_dir).where(F.col("type") == NODE)
-    new = every.join(moved, "id", "left_anti").unionByName(moved)
-    return snapshots.snapshot_changes(old, new).select("action", "id")
+    moved = ad.update_rows(spark, sf_dir)
+    new = ad.snapshot(spark, sf_dir).join(moved, ["type", "id"], "left_anti").unionByName(moved)
+    return snapshots.snapshot_changes(ad.stored_rows(spark, sf_dir), new).select("action", "type", "id")
 
 
-@query("SELECT p_partkey AS id, 1::BIGINT AS version, p_brand AS brand FROM part WHERE p_partkey % 37 = 0")
+@query(f"""WITH {_MEM} SELECT p_partkey AS id, 'node' AS type, 1::BIGINT AS version, p_brand AS tag FROM part WHERE p_partkey % 10 = 0 AND p_partkey % 97 <> 5
+    UNION ALL SELECT o_orderkey, 'way', 1, 'yes' FROM orders WHERE o_orderkey % 50 = 0 AND o_orderkey % 13 <> 3
+    UNION ALL SELECT DISTINCT id, 'relation', 1, ['multipolygon', 'route', 'boundary', 'site'][id % 4 + 1] FROM mem WHERE (id < {ad.NATION} AND id % 40 = 0) OR id = {ad.REGION + 2}""")
 def orc_roundtrip_lookup(spark, sf_dir):
+    """The stored rows of what a batch changes, found in the store by partition and id."""
     tmp = WorkTables(spark, "store")
-    write_store(ad.nodes(spark, sf_dir), f"{tmp.root}/store", "overwrite")
-    want = ad.table(spark, sf_dir, "part").where("p_partkey % 37 = 0").select(keys.partition_number(F.col("p_partkey"), F.lit(NODE)).alias("p"), F.col("p_partkey").alias("id"), F.lit(NODE).alias("type"))
-    return lookup(read_store(spark, f"{tmp.root}/store"), want).select("id", "version", F.col("tags")["brand"].alias("brand"))
+    write_store(ad.stored_rows(spark, sf_dir), f"{tmp.root}/store", "overwrite")
+    want = ad.update_rows(spark, sf_dir).select("p", "id", "type")
+    return lookup(read_store(spark, f"{tmp.root}/store"), want).select("id", "type", "version", F.element_at(F.map_values("tags"), 1).alias("tag"))
+
+
+@query(f"""WITH {_ND}, m AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 20 = 0 THEN 1 ELSE 2 END AS seq FROM part WHERE p_partkey % 10 = 0), modes(mode) AS (VALUES ('in'), ('before')),
+    t AS (SELECT DISTINCT seq, nd.id FROM nd JOIN m ON m.id = nd.ref)
+    SELECT seq, 'node' AS type, id, mode, CASE WHEN mode = 'in' THEN 2::BIGINT ELSE 1 END AS version FROM m, modes UNION ALL SELECT seq, 'way', id, mode, 1 FROM t, modes""")
+def stream_steps(spark, sf_dir):
+    """Two change files taken in as a stream, each a step of the incremental loop over a store of nodes and ways, with a compaction after each; what was published."""
+    tmp = WorkTables(spark, "stream")
+    node = F.struct(F.col("id").alias("_id"), F.lit(2).alias("_version"), F.lit("2024-01-02T00:00:00Z").alias("_timestamp"), (F.col("lat") / 2).cast("double").alias("_lat"), F.col("lon").cast("double").alias("_lon"))
+    for k in (0, 10):  # a change file is one file
+        blocks = ad.nodes(spark, sf_dir).where(F.col("id") % 20 == k).coalesce(1).select(F.array(F.struct(F.array(node).alias("node"))).alias("modify"))
+        blocks.select(F.from_json(F.to_json("modify"), CHANGE_FILE["modify"].dataType).alias("modify")).write.mode("append").parquet(f"{tmp.root}/changes")
+    loop = Loop(spark, f"{tmp.root}/root", compact_every=1)
+    loop.create(entities(ad.nodes(spark, sf_dir)).unionByName(entities(ad.ways(spark, sf_dir))))
+    files = spark.readStream.schema(CHANGE_FILE).option("maxFilesPerTrigger", 1).parquet(f"{tmp.root}/changes")
+    loop.stream(files, f"{tmp.root}/checkpoint").awaitTermination()
+    lines = spark.read.schema("value STRING, seq INT").option("basePath", f"{tmp.root}/root/features").text(f"{tmp.root}/root/features")
+    about = F.from_json("value", "properties STRUCT<type: STRING, id: BIGINT, version: BIGINT, visible: BOOLEAN>")["properties"]
+    return lines.select("seq", about.alias("p")).select("seq", "p.type", "p.id", F.when(F.col("p.visible"), "in").otherwise("before").alias("mode"), "p.version")
 
 
 @query(f"""WITH {_TAGGED}, {_AREA_TABLE}
