@@ -35,6 +35,7 @@ _LETTER = regex.compile(r"\p{L}")
 class LangIdParams:
     max_rows: int = 500  # documents of each language
     bins: int = 8192  # of hashed n-grams
+    most_langs: int = 1000  # labels that can be learnt; the driver holds a vector of bins for each half of each
     gap: float = 0.02  # mean loss per bit between the best two codewords
     seed: int = 7
 
@@ -116,7 +117,9 @@ def _bit_classifiers(share: np.ndarray, code: np.ndarray, p: LangIdParams) -> tu
 
 
 def fit(docs: DataFrame, labelled: DataFrame, p: LangIdParams = LangIdParams()) -> LangIdModel:
-    """labelled: (id, label), the rows that may be learnt from; null labels are left out."""
+    """labelled: (id, label), the rows that may be learnt from; null labels are left out. Raises if there are more labels than most_langs."""
+    if labelled.select("label").distinct().limit(p.most_langs + 2).count() > p.most_langs + 1:  # one of them may be null
+        raise ValueError(f"more than {p.most_langs} languages")
     tmp = Scratch(docs.sparkSession, "langid")
     sample = tmp.write(per_class(labelled, "id", "label", p.max_rows), "sample")
     texts = with_text(sample, docs, sample.count()).select("id", "label", "text").repartition(16, "id")

@@ -141,6 +141,8 @@ def test_langid(spark, tongues):
 def test_langid_with_no_or_one_language(spark, tongues):
     none = spark.createDataFrame([], "id long, label string")
     assert {r.lang_pred for r in langid.predict(tongues, langid.fit(tongues, none)).collect()} == {"und"}
+    with pytest.raises(ValueError, match="more than 3"):
+        langid.fit(tongues, tongues.select(F.col("doc_id").alias("id"), F.col("lang").alias("label")), langid.LangIdParams(most_langs=3))
     one = tongues.where("lang = 'bb'").select(F.col("doc_id").alias("id"), F.col("lang").alias("label"))
     assert {r.lang_pred for r in langid.predict(tongues, langid.fit(tongues, one)).collect()} == {"bb", "und"}
 
