@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,11 +77,11 @@ def by_ids(df: DataFrame, column: str, ids: DataFrame, how: str) -> DataFrame:
     bits = 1 << min(FILTER_BITS.bit_length() - 1, (12 * n - 1).bit_length())
     held = df.sparkSession.sparkContext.broadcast(bloom_filter(ids, bits))
 
-    @F.pandas_udf("boolean")
-    def maybe(x: pd.Series) -> pd.Series:
-        at = _places(x.fillna(0).to_numpy(), bits)
+    @F.arrow_udf("boolean")
+    def maybe(x: pa.Array) -> pa.Array:
+        at = _places(x.fill_null(0).to_numpy(zero_copy_only=False), bits)
         hit = (held.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-        return pd.Series(hit.all(axis=1) & x.notna().to_numpy())
+        return pa.array(hit.all(axis=1) & x.is_valid().to_numpy(zero_copy_only=False))
 
     flag = free_name(df, "__maybe")
     told = df.withColumn(flag, F.coalesce(maybe(F.col(column).cast("long")), F.lit(False)))
