@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ..scratch import freeing_shuffles, shared_folder
 from . import text as tx
 
+#: Bytes of a batch of rows between Spark and Python, where Spark's default of 64 MB holds.
+_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 #: Ids are broadcast up to this many rows (16 MB); beyond, rows that can't match are told by a Bloom filter first.
 BROADCAST_IDS = 1_000_000
 #: Bits of a Bloom filter, at most (64 MB); 12 an id make one of some 300 others pass.
@@ -90,10 +92,17 @@ def by_ids(df: DataFrame, column: str, ids: DataFrame, how: str) -> DataFrame:
     return met if how == "left_semi" else told.where(~F.col(flag)).drop(flag).unionByName(met)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Whole texts pass to Python in batches of a few MB, unless the session says otherwise than by default."""
+    if spark.conf.get(_BATCH).rstrip("b") == str(64 << 20):
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 class Scratch:
     """A folder of written tables; ``drop`` removes one as soon as no later step reads it."""
 
     def __init__(self, spark: SparkSession, name: str):
+        bounded_batches(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/terraloom/{name}-{uuid.uuid4().hex}"
 
