@@ -175,12 +175,41 @@ def properties(row: Column, visible: Column) -> Column:
     )
 
 
+def _pair(x: Column, y: Column) -> Column:
+    return F.concat(F.lit("["), x.cast("double").cast("string"), F.lit(","), y.cast("double").cast("string"), F.lit("]"))
+
+
+def _point_shapes(nodes: DataFrame) -> DataFrame:
+    """Features of nodes with their geometry as JSON, ``shape``: native."""
+    shape = F.concat(F.lit('{"type":"Point","coordinates":'), _pair(F.col("row.lon"), F.col("row.lat")), F.lit("}"))
+    return features(nodes).withColumn("shape", shape)
+
+
+def _line_shapes(ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Features of ways with their geometry as JSON, ``shape``: native."""
+    f = features(ways)
+    f = f.join(way_points(f, nodes), ["id", "mode"], "left")
+    line = F.concat(F.lit("["), F.coalesce(F.array_join(F.transform("points", lambda p: _pair(p["x"], p["y"])), ","), F.lit("")), F.lit("]"))
+    polygon = F.coalesce(ring_area(F.col("points"), F.col("row.tags")), F.lit(False))
+    shape = F.when(polygon, F.concat(F.lit('{"type":"Polygon","coordinates":['), line, F.lit("]}"))).otherwise(F.concat(F.lit('{"type":"LineString","coordinates":'), line, F.lit("}")))
+    return f.withColumn("shape", shape).select("id", "type", "mode", "visible", "row", "shape")
+
+
 def geojson(h: Histories) -> DataFrame:
-    """(type, id, mode, value): one GeoJSON feature for each state to be shown."""
-    f = features(h.all()).join(geometries(h), ["type", "id", "mode"], "left")
+    """(type, id, mode, value): one GeoJSON feature for each state to be shown. Only relations are drawn outside the JVM."""
+    shown = _point_shapes(h.nodes).unionByName(_line_shapes(h.ways, h.nodes))
+    drawn = features(h.relations)
+    if drawn.limit(1).count():
+        shapes = geometries(h).where(F.col("type") == RELATION).select("id", "mode", _geometry_json("wkb").alias("shape"))
+        shown = shown.unionByName(drawn.join(shapes, ["id", "mode"], "left").select("id", "type", "mode", "visible", "row", "shape"))
     props = F.to_json(properties(F.col("row"), F.col("visible")), {"ignoreNullFields": "false"})
-    value = F.concat(F.lit('{"type":"Feature","geometry":'), F.coalesce(_geometry_json("wkb"), F.lit("null")), F.lit(',"properties":'), props, F.lit("}"))
-    return f.select("type", "id", "mode", value.alias("value"))
+    value = F.concat(F.lit('{"type":"Feature","geometry":'), F.coalesce("shape", F.lit("null")), F.lit(',"properties":'), props, F.lit("}"))
+    return shown.select("type", "id", "mode", value.alias("value"))
+
+
+def unquoted(line: Column) -> Column:
+    """For compatibility with outputs in which every text that looks like a whole number, true or false stands without quotes, in tags too."""
+    return F.regexp_replace(F.regexp_replace(line, r'"(\d+)"', "$1"), '"(true|false)"', "$1")
 
 
 def write_geojson(features_df: DataFrame, path: str, mode: str = "overwrite") -> None:

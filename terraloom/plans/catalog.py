@@ -453,6 +453,15 @@ def geojson_lines(spark, sf_dir):
     return render.geojson(history.Histories(nodes, none, none)).select("id", "mode", "value")
 
 
+@query(f"""WITH {_TAGGED} SELECT id, '{{"id":' || id || ',"k":' || to_json(v) || ',"on":true,"off":' || CASE WHEN id % 2 = 0 THEN 'false' ELSE '"no"' END || '}}' AS line FROM t""")
+def line_unquoted(spark, sf_dir):
+    """The compatible form of lines whose values are all texts."""
+    t = _tagged(spark, sf_dir)
+    value = F.element_at(F.map_values("a"), 1)
+    off = F.when(F.col("id") % 2 == 0, "false").otherwise("no")
+    return t.select("id", render.unquoted(F.to_json(F.struct(F.col("id").cast("string").alias("id"), value.alias("k"), F.lit("true").alias("on"), off.alias("off")))).alias("line"))
+
+
 @query()
 def augmented_diff(spark, sf_dir):
     """GeoJSON of everything that one batch of changes touches, of all types; SQL covers what augmented_ways, augmented_routes and geojson_lines give of it."""

@@ -9,6 +9,7 @@ Rows are ordered by edit time, then origin, then version; files may hold late ed
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable
 
@@ -27,6 +28,7 @@ from ..sources.changes import change_rows, read_changes
 from ..sources.paths import fetched, numbers, path_of, with_retries
 from ..sources.store import Index, WithEdges, lookup, merge_files, read_store, write_store
 
+log = logging.getLogger(__name__)
 _DELTA = StructType([*ENTITY.fields, StructField("seq", LongType())])
 
 
@@ -58,6 +60,9 @@ class Loop:
             fresh = tmp.keep(new_index_edges(self.index, edges(update)), "edges")
             want = tmp.keep(wanted(WithEdges(self.index, fresh), update).distinct(), "wanted")
             rows = augment(update, memory, lookup(read_store(self.spark, f"{self.root}/store"), want), want)
+            if log.isEnabledFor(logging.INFO):  # counting costs jobs
+                rows = tmp.keep(rows, "rows")
+                log.info("step %d: %d rows changed, %d index edges new, %d entities wanted, %d rows found", seq, update.count(), fresh.count(), want.count(), rows.count())
             made = tmp.keep(geojson(all_histories(rows)), "features")
             # State first, features last: a repeated step finds its own edges and delta and replaces them.
             update.write.mode("overwrite").parquet(f"{self.root}/delta/seq={seq}")

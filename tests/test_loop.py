@@ -352,3 +352,24 @@ def test_external_table(spark):
         assert read_store(spark, f"{at}/t").count() == 2
     finally:
         spark.sql("DROP TABLE terraloom_entities")
+
+
+def test_nested_extracts_and_step_logs(spark, caplog):
+    import logging
+
+    at = tempfile.mkdtemp()
+    rows = entities(spark.createDataFrame([(1, "node"), (2, "node")], "id long, type string")).select(*[f.name for f in STORED.fields])
+    rows.where("id = 1").write.orc(f"{at}/x/a")
+    rows.where("id = 2").write.orc(f"{at}/x/b")
+    assert read_snapshot(spark, f"{at}/x", recursive=True, glob="*.orc").count() == 2 and read_snapshot(spark, f"{at}/x", recursive=True, glob="*.none").count() == 0
+    w = World(spark, node(1, 1, 0, 0) + way(2, 1, [1]))
+    with caplog.at_level(logging.INFO, logger="terraloom"):
+        w.apply(modify=node(1, 2, 1, 1))
+    assert "step 1: 1 rows changed, 0 index edges new, 2 entities wanted, 3 rows found" in caplog.text
+
+
+def test_log_levels_by_name(spark):
+    from terraloom.session import session
+
+    s = session("x", log_level="ERROR", log_levels={"terraloom.example": "INFO"})
+    assert s._jvm.org.apache.logging.log4j.LogManager.getLogger("terraloom.example").getLevel().toString() == "INFO"
