@@ -12,7 +12,9 @@ are its first list. Then NN-descent rounds: a node brings together a sample of i
 and reverse neighbours and compares these, neighbours of neighbours, with one another, where
 one of the two is new in its list since it was last brought together; pairs that improve on
 a list are merged into it. Only ids are joined until the sample is chosen. The rounds go on
-until hardly any entry of the lists changes.
+until hardly any entry of the lists changes. Then the lists of a bounded sample of nodes are
+held against all vectors; while they lack too many of the true nearest, more trees and rounds
+follow (``most_turns`` times at most), so that recall doesn't fall as vectors get more.
 Search, for each query and range of norms: from the query's own node and the best of a bounded
 sample of the range, a query expands the best ``expand`` nodes it knows that it has not
 expanded yet: a join of ids with the lists of neighbours and reverse neighbours, less what the query has seen, and only
@@ -52,7 +54,10 @@ class AnnParams:
     neighbours: int = 64  # of a node in the graph
     sampled: int = 16  # new neighbours, new reverse neighbours, and old ones of either kind, that a node brings together in a round
     settled: float = 0.02  # rounds end when a smaller share of the lists' entries changed in one
-    trees: int = 8  # sets of pivots
+    trees: int = 8  # sets of pivots at a time
+    aim: float = 0.9  # share of the true nearest that the lists of checked nodes are to hold, or as many sets of pivots more are taken
+    checked: int = 128  # nodes, held against all others
+    most_turns: int = 8  # times that sets of pivots are taken at most
     leaf: int = 256  # vectors of a pivot, about
     leaf_best: int = 24  # neighbours that a node takes from a leaf
     most_pivots: int = 4096  # of one leaf
@@ -189,8 +194,8 @@ def _merge_lists(df: DataFrame, k: int) -> DataFrame:
     return _folded(df, "id", _GRAPH, _to_flat, lambda f: _best(f, k), lambda f: _to_lists(f, True))
 
 
-def _split(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
-    """(leaf, id, vec): the leaves of all trees."""
+def _split(nodes: DataFrame, tmp: Scratch, p: AnnParams, salt: int) -> DataFrame:
+    """(leaf, id, vec): the leaves of all trees; another salt makes others."""
     trees = F.explode(F.array(*[F.lit(t).cast("long") for t in range(p.trees)]))
     dealt = nodes.select("part", trees.alias("tree"), "id", "vec").select((p.trees * (F.col("part") - LEAST_PART) + F.col("tree")).alias("leaf"), "id", "vec")
     name, following, tries = "", p.trees << 12, {}
@@ -206,7 +211,7 @@ def _split(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
         if not wanted:
             break
         share = nodes.sparkSession.createDataFrame(list(wanted.items()), "leaf long, share double")
-        chance = F.pmod(F.xxhash64("id", "leaf", F.lit(following)), F.lit(1 << 30)) / float(1 << 30)
+        chance = F.pmod(F.xxhash64("id", "leaf", F.lit(following), F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
         found: dict = {}
         for r in dealt.join(F.broadcast(share), "leaf").where(chance < F.col("share")).orderBy("leaf", "id").select("leaf", "vec").collect():
             found.setdefault(r.leaf, []).append(np.frombuffer(r.vec, np.float32))
@@ -247,8 +252,8 @@ def _split(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
     return dealt.select((F.col("leaf") * (1 << 32) + F.pmod(F.xxhash64("id", F.lit(5)), F.coalesce("parts", F.lit(1)))).alias("leaf"), "id", "vec")
 
 
-def _first_lists(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
-    """The best neighbours within each leaf of each tree."""
+def _leaf_lists(nodes: DataFrame, tmp: Scratch, p: AnnParams, salt: int) -> DataFrame:
+    """The best neighbours within each leaf of each tree, a list for each."""
 
     def run(batches):
         for batch in _whole_groups(batches):
@@ -261,7 +266,7 @@ def _first_lists(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
                 counts, n = np.full(b - a, k), (b - a) * k
                 yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), _packed(own[best].ravel(), counts), _packed(np.take_along_axis(s, best, 1).ravel(), counts), _packed(np.full(n, FOUND, np.uint8), counts)], names=_LIST.names)
 
-    return _merge_lists(_split(nodes, tmp, p).repartition("leaf").sortWithinPartitions("leaf").mapInArrow(run, _LIST), p.neighbours)
+    return _split(nodes, tmp, p, salt).repartition("leaf").sortWithinPartitions("leaf").mapInArrow(run, _LIST)
 
 
 def _priority(v: np.ndarray, u: np.ndarray, salt: int) -> np.ndarray:
@@ -363,16 +368,54 @@ def _descend(graph: DataFrame, nodes: DataFrame, p: AnnParams, salt: int) -> Dat
     return _merge_lists(graph.select(*_LIST.names).mapInArrow(aged, _LIST).unionByName(found), p.neighbours)
 
 
+def list_recall(graph: DataFrame, nodes: DataFrame, p: AnnParams) -> float:
+    """Share of the ``top`` true nearest of ``checked`` nodes, found among all nodes of their range, that their lists hold."""
+    some = nodes.select("id", "part", "vec").orderBy(F.xxhash64("id", F.lit(11)), "id").limit(p.checked).collect()
+    ids, parts = np.array([r.id for r in some], np.int64), np.array([r.part for r in some])
+    held = nodes.sparkSession.sparkContext.broadcast((ids, parts, np.stack([np.frombuffer(r.vec, np.float32) for r in some]).astype(float)))
+
+    def run(batches):
+        ids, parts, c = held.value
+        best = np.full((len(ids), p.top), -np.inf)
+        for batch in batches:
+            if batch.num_rows:
+                s = c @ _vectors(batch.column(2)).T
+                s[(parts[:, None] != batch.column(1).to_numpy()[None, :]) | (ids[:, None] == batch.column(0).to_numpy()[None, :])] = -np.inf
+                best = -np.partition(-np.hstack([best, s]), p.top - 1, axis=1)[:, : p.top]
+        k, j = np.nonzero(best > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[k]), pa.array(best[k, j])], names=["id", "sim"])
+
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("sim")))
+    true = nodes.select("id", "part", "vec").mapInArrow(run, "id long, sim double").withColumn("k", rank).where(F.col("k") <= p.top)
+    least = {r.id: (r.least, r.n) for r in true.groupBy("id").agg(F.min("sim").alias("least"), F.count("*").alias("n")).collect()}
+    lists = {r.id: np.frombuffer(r.sim) for r in graph.where(F.col("id").isin(ids.tolist())).select("id", "sim").collect()}
+    return float(np.mean([(lists.get(i, np.empty(0))[:n] >= t - 1e-9).sum() / n for i, (t, n) in least.items()])) if least else 1.0
+
+
 def build_graph(nodes: DataFrame, tmp: Scratch, p: AnnParams) -> DataFrame:
     """(id, nb, sim, mark, changed): the neighbour list of each node of nodes (part, id, vec) that has any, best first."""
-    graph, k = tmp.write(_first_lists(nodes, tmp, p), "graph-0", "lz4"), 0
-    while True:  # sums of similarities only grow, so this ends
+    graph, k = None, 0
+
+    def kept(lists: DataFrame) -> DataFrame:
+        nonlocal k
         k += 1
-        graph = tmp.write(_descend(graph, nodes, p, 2 * k), f"graph-{k}", "lz4")
+        made = tmp.write(lists, f"graph-{k}", "lz4")
         tmp.drop(f"graph-{k - 1}")
-        changed, entries = graph.select(F.sum("changed"), F.sum(F.length("mark"))).first()
-        if (changed or 0) <= p.settled * (entries or 0):
-            return graph
+        return made
+
+    for turn in range(p.most_turns):
+        leaves = Scratch(tmp.spark, "ann-leaves")
+        lists = _leaf_lists(nodes, leaves, p, turn)
+        graph = kept(_merge_lists(lists if graph is None else lists.unionByName(graph.select(*_LIST.names)), p.neighbours))
+        leaves.drop("")
+        while True:  # sums of similarities only grow, so this ends
+            graph = kept(_descend(graph, nodes, p, 2 * k))
+            changed, entries = graph.select(F.sum("changed"), F.sum(F.length("mark"))).first()
+            if (changed or 0) <= p.settled * (entries or 0):
+                break
+        if list_recall(graph, nodes, p) >= p.aim:
+            break
+    return graph
 
 
 # --- search ------------------------------------------------------------------------------------
