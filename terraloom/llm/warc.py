@@ -71,8 +71,10 @@ def write_archive(pages: DataFrame, tmp: Scratch, least: int = LEAST, **cols) ->
     facts = tmp.write(rows.drop("payload"), "facts")
     firsts = facts.groupBy("digest").agg(F.min("page_id").alias("first_id"))
     head = tmp.write(headers(facts, firsts, least), "headers")
-    stored = rows.select("page_id", "digest", "payload").join(firsts, "digest").where(F.col("page_id").eqNullSafe(F.col("first_id")))
-    payloads = tmp.write(stored.select("digest", "payload").dropDuplicates(["digest"]), "payloads")
+    # Of a digest's pages only its first meets here; as join and repeats go by the same keys, payloads are shuffled once, and copies to many tasks.
+    keys = lambda c: (F.coalesce(c, F.lit(0)).alias("k"), F.col(c).isNull().alias("none"))
+    stored = rows.select("digest", "payload", *keys("page_id")).join(firsts.select("digest", *keys("first_id")), ["digest", "k", "none"])
+    payloads = tmp.write(stored.dropDuplicates(["digest", "k", "none"]).select("digest", "payload"), "payloads")
     tmp.drop("facts")
     return head, payloads
 
