@@ -100,12 +100,14 @@ class QualityModel:
         return np.clip(np.interp(self.lift(x) @ self.weights, self.knots, self.values), 0.0, 1.0)
 
 
-def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool-adjacent-violators fit of y on x; (knots, values), both ascending."""
-    order = np.argsort(x, kind="stable")
+def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pool-adjacent-violators fit of y on x, rows weighted, equal x pooled first; (knots, values), both ascending."""
+    weight = np.ones(len(x)) if weight is None else weight
+    at, of = np.unique(x, return_inverse=True)
+    total, size = np.bincount(of, weights=weight * y, minlength=len(at)), np.bincount(of, weights=weight, minlength=len(at))
     blocks: list[list[float]] = []  # sum, size, first x, last x
-    for a, b in zip(x[order], y[order], strict=True):
-        blocks.append([b, 1, a, a])
+    for v, s, n in zip(at, total, size, strict=True):
+        blocks.append([s, n, v, v])
         while len(blocks) > 1 and blocks[-2][0] / blocks[-2][1] >= blocks[-1][0] / blocks[-1][1]:
             s, n, _, hi = blocks.pop()
             blocks[-1][0] += s
@@ -178,16 +180,11 @@ def fit(docs: DataFrame, labelled: DataFrame, p: QualityParams = QualityParams()
             raw.append(model.lift(np.array(part.x.tolist())) @ solved(rest_a, rest_b))
             y.append(part.label.to_numpy())
     raw, y = np.concatenate(raw), np.concatenate(y)
-    model.knots, model.values = _calibrate(raw, y, np.array([weight[k] for k in y]))
+    model.knots, model.values = isotonic(raw, y, np.array([weight[k] for k in y]))
     tmp.drop("sample", "statistics")
     return model
 
 
-def _calibrate(raw: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    times = np.maximum(1, np.round(weight / weight.min())).astype(int)
-    return isotonic(np.repeat(raw, times), np.repeat(y, times))
-
-
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text", name: str = "score", keep_text: bool = False) -> DataFrame:
     """docs' columns (without the text unless keep_text) and the score of each whole text, a new column called name."""
     kept = [c for c in docs.columns if keep_text or c != text_col]

@@ -88,7 +88,7 @@ def test_quality(spark, graded):
 def test_few_rows_of_a_label_are_calibrated_by_isotonic_regression(spark, graded, monkeypatch):
     seen = []
     real = quality.isotonic
-    monkeypatch.setattr(quality, "isotonic", lambda x, y: seen.append(len(y)) or real(x, y))
+    monkeypatch.setattr(quality, "isotonic", lambda x, y, w: seen.append(len(y)) or real(x, y, w))
     train = graded.where("doc_id < 600 AND (label = 1 OR doc_id % 4 = 0)").select(F.col("doc_id").alias("id"), "label")
     model = quality.fit(graded, train)
     assert train.where("label = 0").count() < 200 and seen == [train.count()]
@@ -107,6 +107,18 @@ def test_isotonic_is_the_least_squares_monotone_fit():
     assert (np.diff(values) >= 0).all() and np.allclose(np.interp([1, 3, 4], knots, values), [0, 1 / 3, 1])
 
 
+def test_isotonic_weights_stand_for_repeated_rows():
+    """Whatever the weights, at a cost of the rows alone; equal x are pooled in any order."""
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 30, 200) / 7, rng.integers(0, 2, 200).astype(float)
+    w = rng.integers(1, 9, 200)
+    got, want = quality.isotonic(x, y, w.astype(float)), quality.isotonic(np.repeat(x, w), np.repeat(y, w))
+    turned = quality.isotonic(x[::-1], y[::-1], w[::-1].astype(float))
+    assert all(np.allclose(a, b) for a, b in zip(got + got, want + turned, strict=True))
+    knots, values = quality.isotonic(np.array([1.0, 1, 2]), np.array([0.0, 1, 1]), np.array([1.0, 1e9, 1e9]))
+    assert np.allclose(knots, [1, 2]) and np.allclose(values, [1, 1], atol=1e-8)
+
+
 def test_random_features_approximate_the_kernel():
     p = quality.QualityParams(features=4096)
     rng = np.random.default_rng(0)
