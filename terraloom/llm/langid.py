@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from . import text as tx
-from .runtime import Scratch, free_name
+from .runtime import Scratch, free_name, kept_columns
 from .sampling import per_class, with_text
 
 UND = "und"
@@ -179,8 +179,8 @@ def fit(docs: DataFrame, labelled: DataFrame, p: LangIdParams = LangIdParams())
 
 
 def predict(docs: DataFrame, model: LangIdModel, text_col: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous"), keep_text: bool = False) -> DataFrame:
-    """docs' columns (without the text unless keep_text), the predicted language, its score and the flag."""
-    kept = [c for c in docs.columns if keep_text or c != text_col]
+    """docs' columns (without the text unless keep_text), the predicted language, its score and the flag; columns that docs has of these names are replaced."""
+    kept = kept_columns(docs, None if keep_text else text_col, names)
 
     def run(batches):
         for batch in batches:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import text as tx
-from .runtime import Scratch, free_name
+from .runtime import Scratch, free_name, kept_columns
 from .sampling import per_class, with_text
 
 
@@ -186,8 +186,8 @@ def fit(docs: DataFrame, labelled: DataFrame, p: QualityParams = QualityParams()
 
 
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text", name: str = "score", keep_text: bool = False) -> DataFrame:
-    """docs' columns (without the text unless keep_text) and the score of each whole text, a new column called name."""
-    kept = [c for c in docs.columns if keep_text or c != text_col]
+    """docs' columns (without the text unless keep_text) and the score of each whole text, a new column called name; one that docs has of that name is replaced."""
+    kept = kept_columns(docs, None if keep_text else text_col, (name,))
 
     def run(batches):
         for batch in batches:

@@ -33,6 +33,12 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def kept_columns(df: DataFrame, without: str | None, new: tuple[str, ...]) -> list[str]:
+    """df's columns but ``without`` and those that the new ones replace, as they have a name of theirs."""
+    gone = {n.lower() for n in (*new, *([without] if without else []))}
+    return [c for c in df.columns if c.lower() not in gone]
+
+
 def _places(ids: np.ndarray, bits: int) -> np.ndarray:
     """Four places of each id in a filter of a power of two of bits."""
     h = tx.mix64(ids.astype(np.int64).view(np.uint64))

@@ -5,8 +5,9 @@ of its distinct words)``, and a document scores ``1 - prod(1 - s)`` (noisy-or).
 weights are trained by gradient descent on document labels alone; the sentence scores then
 tell which sentences offend.
 
-Fitting reads at most ``max_rows`` labelled documents of each label (lowest id hashes), in
-full, and keeps every word of ``min_docs`` of them or more whose document frequencies differ
+Fitting reads at most ``max_rows`` labelled documents of each label (lowest id hashes, and no
+more than hold ``max_words`` words together, so that the driver's part is bounded), in full,
+and keeps every word of ``min_docs`` of them or more whose document frequencies differ
 between the labels by ``least_z`` standard errors; scoring reads every text in full. Null, empty and word-less texts have no sentence
 and score 0. Without labels of both kinds every document scores 0.
 """
@@ -14,6 +15,8 @@ and score 0. Without labels of both kinds every document scores 0.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from . import text as tx
-from .runtime import Scratch
+from .runtime import Scratch, free_name, kept_columns
 from .sampling import per_class, with_text
 
 
 @dataclass(frozen=True)
 class ToxicityParams:
     max_rows: int = 4000  # labelled documents of each label
+    max_words: int = 8_000_000  # of these documents together, of each label, beyond the first document
     least_z: float = 1.4  # by which a learnt word's document frequencies differ between the labels; three documents of one label reach it
     min_docs: int = 3  # documents that a learnt word is in, at least
     steps: int = 300
@@ -78,14 +82,28 @@ def _doc_score(s: np.ndarray) -> float:
 
 
 def _to_bags(batches):
-    schema = pa.schema([("label", pa.float64()), ("h", pa.binary()), ("s", pa.binary())])
+    schema = pa.schema([("label", pa.float64()), ("h", pa.binary()), ("s", pa.binary()), ("place", pa.int64())])
     for batch in batches:
         labels, hs, ss = batch.column(0), [], []
-        for t in batch.column(1):
+        for t in batch.column(2):
             h, number, _, _ = sentences(t.as_py())
             hs.append(h.tobytes())
             ss.append(number.astype(np.int32).tobytes())
-        yield pa.RecordBatch.from_arrays([labels, pa.array(hs, pa.binary()), pa.array(ss, pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([labels, pa.array(hs, pa.binary()), pa.array(ss, pa.binary()), batch.column(1)], schema=schema)
+
+
+def _within(bags: DataFrame, p: ToxicityParams) -> DataFrame:
+    """The bags of each label in order of their ids' hashes, as far as they hold max_words words; at least one."""
+    sizes = bags.select("label", "place", (F.octet_length("h") / 8).cast("long").alias("n")).collect()  # of the sample's rows
+    last: dict[float, int] = {}
+    held: dict[float, int] = {}
+    for r in sorted(sizes, key=lambda r: r.place):
+        held[r.label] = held.get(r.label, 0) + r.n
+        if r.label not in last or held[r.label] <= p.max_words:
+            last[r.label] = r.place
+    if all(n <= p.max_words for n in held.values()):
+        return bags
+    return bags.where(reduce(or_, [(F.col("label") == k) & (F.col("place") <= v) for k, v in last.items()]))
 
 
 def fit(docs: DataFrame, labelled: DataFrame, p: ToxicityParams = ToxicityParams()) -> ToxicityModel:
@@ -93,8 +111,8 @@ def fit(docs: DataFrame, labelled: DataFrame, p: ToxicityParams = ToxicityParams
     labelled = labelled.where("label IN (0, 1)")
     tmp = Scratch(docs.sparkSession, "toxicity")
     sample = tmp.write(per_class(labelled, "id", "label", p.max_rows), "sample")
-    texts = with_text(sample, docs, 2 * p.max_rows).select(F.col("label").cast("double").alias("label"), "text")
-    bags = tmp.write(texts.mapInArrow(_to_bags, "label double, h binary, s binary").repartition(16), "bags")
+    texts = with_text(sample, docs, 2 * p.max_rows).select(F.col("label").cast("double").alias("label"), F.xxhash64("id").alias("place"), "text")
+    bags = _within(tmp.write(texts.mapInArrow(_to_bags, "label double, h binary, s binary, place long").repartition(16), "bags"), p)
     n = {r[0]: r[1] for r in bags.groupBy("label").count().collect()}
     if len(n) < 2:
         tmp.drop("sample", "bags")
@@ -190,8 +208,8 @@ def _descend(y, weight, offset, sent, word, n_words: int, p: ToxicityParams) ->
 
 
 def score(docs: DataFrame, model: ToxicityModel, p: ToxicityParams = ToxicityParams(), text_col: str = "text") -> DataFrame:
-    """docs' columns without the text, with ``score`` and ``offending``, the number of offending sentences."""
-    kept = [c for c in docs.columns if c != text_col]
+    """docs' columns without the text, with ``score`` and ``offending``, the number of offending sentences; columns that docs has of these names are replaced."""
+    kept = kept_columns(docs, text_col, ("score", "offending"))
 
     def run(batches):
         for batch in batches:
@@ -204,7 +222,7 @@ def score(docs: DataFrame, model: ToxicityModel, p: ToxicityParams = ToxicityPar
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(total, pa.float64()), pa.array(bad, pa.int32())], names=[*kept, "score", "offending"])
 
     rest = docs.select(*kept)
-    return docs.select(*kept, text_col).mapInArrow(run, StructType([*rest.schema.fields, StructField("score", DoubleType()), StructField("offending", IntegerType())]))
+    return docs.select(*kept, F.col(text_col).alias(free_name(docs, "__text"))).mapInArrow(run, StructType([*rest.schema.fields, StructField("score", DoubleType()), StructField("offending", IntegerType())]))
 
 
 def locate(docs: DataFrame, model: ToxicityModel, p: ToxicityParams = ToxicityParams(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -18,7 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .runtime import free_name, kept_columns
+
 MAX_RULES = 2_000_000
+_NEW = ("host", "path", "rule", "verdict")
 _FOLD = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
 
 
@@ -95,8 +98,8 @@ class UrlTrie:
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], default: str = "allow", url_col: str = "url") -> DataFrame:
-    """pages' columns without the url, and host, path, rule and verdict."""
-    kept = [c for c in pages.columns if c != url_col]
+    """pages' columns without the url, and host, path, rule and verdict; columns that pages has of these names are replaced."""
+    kept = kept_columns(pages, url_col, _NEW)
     trie = pages.sparkSession.sparkContext.broadcast(UrlTrie(rules, default))
 
     def run(batches):
@@ -104,7 +107,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], default: str
             parts = [split_url(u.as_py()) for u in batch.column(len(kept))]
             said = [trie.value.judge(h, p) for h, p in parts]
             cols = [[h for h, _ in parts], [p for _, p in parts], [r for _, r in said], [v for v, _ in said]]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *(pa.array(c, pa.string()) for c in cols)], names=[*kept, "host", "path", "rule", "verdict"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *(pa.array(c, pa.string()) for c in cols)], names=[*kept, *_NEW])
 
-    schema = StructType([*pages.select(*kept).schema.fields, *(StructField(n, StringType()) for n in ("host", "path", "rule", "verdict"))])
-    return pages.select(*kept, F.col(url_col).alias("__url")).mapInArrow(run, schema)
+    schema = StructType([*pages.select(*kept).schema.fields, *(StructField(n, StringType()) for n in _NEW)])
+    return pages.select(*kept, F.col(url_col).alias(free_name(pages, "__url"))).mapInArrow(run, schema)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terraloom.llm import langid, quality, toxicity
+from terraloom.llm import langid, quality, toxicity, urlfilter
 from terraloom.llm.sampling import crc_mod, per_class
 
 
@@ -52,6 +52,25 @@ def test_toxicity_without_labels(spark, toxic):
     assert toxicity.score(toxic.select("doc_id", "text").limit(0), model).count() == 0
 
 
+def test_toxicity_sample_is_bounded_by_its_words(spark):
+    rows = [(1.0, b"x" * 8 * n, b"", at) for at, n in enumerate([50, 30, 30])] + [(0.0, b"x" * 8 * n, b"", at) for at, n in enumerate([900, 1])] + [(2.0, b"", b"", 7)]
+    bags = spark.createDataFrame(rows, "label double, h binary, s binary, place long")
+    kept = lambda n: sorted((r.label, r.place) for r in toxicity._within(bags, toxicity.ToxicityParams(max_words=n)).collect())
+    assert kept(80) == [(0.0, 0), (1.0, 0), (1.0, 1), (2.0, 7)] and kept(1) == [(0.0, 0), (1.0, 0), (2.0, 7)] and len(kept(901)) == 6
+
+
+def test_columns_of_a_new_name_are_replaced(spark):
+    odd = spark.createDataFrame([(1, "abc", "x", "y", "z", "u")], "doc_id long, text string, Score string, offending string, verdict string, __text string")
+    bad = toxicity.ToxicityModel(np.empty(0, np.uint64), np.empty(0), -30.0)
+    assert toxicity.score(odd, bad).first().asDict() == {"doc_id": 1, "verdict": "z", "__text": "u", "score": 0.0, "offending": 0}
+    none = quality.fit(odd, spark.createDataFrame([], "id long, label int"))
+    assert quality.score(odd, none).first().asDict() == {"doc_id": 1, "offending": "y", "verdict": "z", "__text": "u", "score": 0.5}
+    unlearnt = langid.fit(odd, spark.createDataFrame([], "id long, label string"))
+    assert langid.predict(odd, unlearnt).first().asDict() == {"doc_id": 1, "offending": "y", "verdict": "z", "__text": "u", "lang_pred": "und", "score": 0.0, "ambiguous": False}
+    said = urlfilter.judge_urls(odd.withColumn("__url", F.lit("v")), [], url_col="text").first().asDict()
+    assert said == {"doc_id": 1, "Score": "x", "offending": "y", "__text": "u", "__url": "v", "host": "", "path": "", "rule": None, "verdict": "allow"}
+
+
 def test_sentence_scores_make_the_document_score():
     m = toxicity.ToxicityModel(np.sort(toxicity.tx.word_hashes("bad awful")), np.array([3.0, 3.0]), -2.0)
     h, number, first, _ = toxicity.sentences("bad bad day. fine\nawful bad.")
