@@ -27,6 +27,8 @@ from .history import Histories, features
 
 #: Levels in which relations on or above a cycle are drawn; they lack the parts beyond.
 CYCLE_DEPTH = 6
+#: States of an entity: in the window, and before it.
+MODES = ("in", "before")
 
 
 def vertex_states(nodes: DataFrame) -> DataFrame:
@@ -52,12 +54,17 @@ def ring_area(points: Column, tags: Column) -> Column:
 
 
 @F.pandas_udf(BinaryType())
-def _way_wkb(points: pd.Series, polygon: pd.Series) -> pd.Series:
+def _flat_wkb(xy: pd.Series, polygon: pd.Series) -> pd.Series:
     def one(p, poly):
-        xy = np.array([(q["x"], q["y"]) for q in p], float).reshape(-1, 2) if p is not None else np.empty((0, 2))
-        return wkb.dump(wkb.POLYGON, [xy]) if poly else wkb.dump(wkb.LINE, xy)
+        at = np.empty((0, 2)) if p is None else np.asarray(p, float).reshape(-1, 2)
+        return wkb.dump(wkb.POLYGON, [at]) if poly else wkb.dump(wkb.LINE, at)
 
-    return pd.Series([one(p, poly) for p, poly in zip(points, polygon, strict=True)], dtype=object)
+    return pd.Series([one(p, poly) for p, poly in zip(xy, polygon, strict=True)], dtype=object)
+
+
+def _way_wkb(points: Column, polygon: Column) -> Column:
+    """WKB of lines or polygons through points (x, y), which pass to Python as plain numbers."""
+    return _flat_wkb(F.flatten(F.transform(points, lambda q: F.array(q["x"], q["y"]))), polygon)
 
 
 @F.pandas_udf(BinaryType())
@@ -113,16 +120,22 @@ def states(h: DataFrame) -> DataFrame:
     return h.select("id", "type", F.explode(F.filter(F.array(in_, old), lambda s: s.isNotNull())).alias("s")).select("id", "type", "s.*")
 
 
-def geometries(h: Histories) -> DataFrame:
-    """(type, id, mode, wkb) of every state of every entity of the histories."""
+def geometries(h: Histories, modes: tuple[str, ...] = MODES, parts_only: bool = False) -> DataFrame:
+    """(type, id, mode, wkb) of every state of every entity of the histories, in these modes.
+
+    parts_only: of nodes and ways only those that are members of a relation drawn.
+    """
     tmp = WorkTables(h.nodes.sparkSession, "geometries")
-    points = states(h.nodes).select("type", "id", "mode", _point_wkb(F.col("row.lon").cast("double"), F.col("row.lat").cast("double")).alias("wkb"))
-    w = states(h.ways)
+    shown = lambda df: states(df).where(F.col("mode").isin(*modes))
+    rel = tmp.keep(shown(h.relations).select("id", "type", "mode", "row.members", "row.tags"), "relations")
+    inner = rel.select("id", "mode", F.posexplode("members").alias("pos", "m")).select("id", "mode", "pos", F.col("m.type").alias("mt"), F.col("m.ref").alias("ref"), F.col("m.role").alias("role"))
+    used = inner.where(F.col("mt") != RELATION).select(F.col("mt").alias("type"), F.col("ref").alias("id"), "mode").distinct()
+    level_0 = lambda df: shown(df).join(used, ["type", "id", "mode"], "left_semi") if parts_only else shown(df)
+    points = level_0(h.nodes).select("type", "id", "mode", _point_wkb(F.col("row.lon").cast("double"), F.col("row.lat").cast("double")).alias("wkb"))
+    w = level_0(h.ways)
     w = w.join(way_points(w, h.nodes), ["id", "mode"], "left")
-    lines = w.select("type", "id", "mode", _way_wkb("points", F.coalesce(ring_area(F.col("points"), F.col("row.tags")), F.lit(False))).alias("wkb"))
+    lines = w.select("type", "id", "mode", _way_wkb(F.col("points"), F.coalesce(ring_area(F.col("points"), F.col("row.tags")), F.lit(False))).alias("wkb"))
     done = tmp.keep(points.unionByName(lines), "level-0")
-    rel = tmp.keep(states(h.relations).select("id", "type", "mode", "row.members", "row.tags"), "relations")
-    inner = rel.select("id", "mode", F.posexplode("members").alias("pos", "m")).select("id", "mode", "pos", F.col("m.type").alias("mt"), F.col("m.ref").alias("ref"), F.col("m.role").alias("role"))
     # A level draws the relations whose nested relations are all drawn; what then is left leads to a cycle.
     known = rel.select(F.col("id").alias("ref"), "mode")
     nested = tmp.keep(inner.where(F.col("mt") == RELATION).select("id", "mode", "ref").distinct().join(known, ["ref", "mode"], "left_semi"), "nested")
@@ -200,7 +213,7 @@ def geojson(h: Histories) -> DataFrame:
     shown = _point_shapes(h.nodes).unionByName(_line_shapes(h.ways, h.nodes))
     drawn = features(h.relations)
     if drawn.limit(1).count():
-        shapes = geometries(h).where(F.col("type") == RELATION).select("id", "mode", _geometry_json("wkb").alias("shape"))
+        shapes = geometries(h, parts_only=True).where(F.col("type") == RELATION).select("id", "mode", _geometry_json("wkb").alias("shape"))
         shown = shown.unionByName(drawn.join(shapes, ["id", "mode"], "left").select("id", "type", "mode", "visible", "row", "shape"))
     props = F.to_json(properties(F.col("row"), F.col("visible")), {"ignoreNullFields": "false"})
     value = F.concat(F.lit('{"type":"Feature","geometry":'), F.coalesce("shape", F.lit("null")), F.lit(',"properties":'), props, F.lit("}"))

@@ -60,3 +60,17 @@ def test_members_of_relations_are_not_compared_in_pairs(spark, monkeypatch):
     monkeypatch.setattr(WorkTables, "keep", lambda self, df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(self, df, name))
     assert entry.queries()["relation_complete"](spark, SF).count()
     assert any("explode(members" in p for p in plans) and not any("array_distinct(transform(members" in p for p in plans)
+
+
+@pytest.mark.parametrize("name", ["augmented_routes", "relation_multiline_wkt"])
+def test_only_what_is_asked_for_is_drawn(spark, monkeypatch, name):
+    kept, keep = {}, WorkTables.keep
+
+    def noted(self, df, table):
+        kept[table] = keep(self, df, table)
+        return kept[table]
+
+    monkeypatch.setattr(WorkTables, "keep", noted)
+    assert entry.queries()[name](spark, SF).count()
+    assert "ready-0" not in kept  # no level of relations of relations
+    assert [r.type for r in kept["level-0"].select("type").distinct().collect()] == ["way"]
