@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import warnings
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -40,12 +41,26 @@ def vertex_states(nodes: DataFrame) -> DataFrame:
     return nodes.select(F.col("id").alias("ref"), F.explode(F.filter(F.array(in_, old), lambda s: s.isNotNull())).alias("s")).select("ref", "s.*")
 
 
+def _listed(ways: DataFrame, nodes: DataFrame, **at: Column) -> DataFrame:
+    """(id, mode, p): of each way state's vertices in order the position and ``at``, made of lon and lat; ways (id, mode, row)."""
+    v = ways.select("id", "mode", F.posexplode("row.nds").alias("pos", "nd")).select("id", "mode", "pos", F.col("nd.ref").alias("ref"))
+    v = v.join(vertex_states(nodes).select("ref", "mode", *[c.alias(name) for name, c in at.items()]), ["ref", "mode"])
+    return v.groupBy("id", "mode").agg(F.array_sort(F.collect_list(F.struct("pos", *at))).alias("p"))
+
+
 def way_points(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     """(id, mode, points): each way state's vertices in order; ways (id, mode, row)."""
-    v = ways.select("id", "mode", F.posexplode("row.nds").alias("pos", "nd")).select("id", "mode", "pos", F.col("nd.ref").alias("ref"))
-    at = v.join(vertex_states(nodes), ["ref", "mode"])
-    points = F.array_sort(F.collect_list(F.struct("pos", F.col("lon").cast("double").alias("x"), F.col("lat").cast("double").alias("y"))))
-    return at.groupBy("id", "mode").agg(points.alias("p")).select("id", "mode", F.transform("p", lambda q: F.struct(q["x"].alias("x"), q["y"].alias("y"))).alias("points"))
+    listed = _listed(ways, nodes, x=F.col("lon").cast("double"), y=F.col("lat").cast("double"))
+    return listed.select("id", "mode", F.transform("p", lambda q: F.struct(q["x"].alias("x"), q["y"].alias("y"))).alias("points"))
+
+
+def way_lines(ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(…, line, polygon): ways (id, mode, row, …) with their vertices as JSON, each node's written once, and whether they are drawn as polygons."""
+    p = F.col("p")
+    listed = _listed(ways, nodes, at=_pair(F.col("lon"), F.col("lat")))
+    listed = listed.select("id", "mode", F.concat(F.lit("["), F.array_join(p["at"], ","), F.lit("]")).alias("line"), F.element_at(p, 1)["at"].eqNullSafe(F.element_at(p, -1)["at"]).alias("closed"))
+    drawn = ways.join(listed, ["id", "mode"], "left")
+    return drawn.withColumns({"line": F.coalesce("line", F.lit("[]")), "polygon": F.coalesce(is_area(F.col("row.tags")) & F.col("closed"), F.lit(False))}).drop("closed")
 
 
 def ring_area(points: Column, tags: Column) -> Column:
@@ -112,12 +127,15 @@ def route_wkb(members: pd.Series) -> pd.Series:
     return pd.Series([None if r is None else [{"role": role, "wkb": g} for role, g in r] for r in made], dtype=object)
 
 
-def states(h: DataFrame) -> DataFrame:
-    """(id, type, mode, row): every state that a container may draw; in mode "in" the old row stands in for a missing new one."""
+def states(h: DataFrame, *more: str) -> DataFrame:
+    """(id, type, mode, row): every state that a container may draw; in mode "in" the old row stands in for a missing new one.
+
+    more: columns that are handed on.
+    """
     now, before = F.col("now"), F.col("before")
     in_ = F.when(now.isNotNull() & now["visible"], F.struct(F.lit("in").alias("mode"), now.alias("row"))).when(now.isNull() & before.isNotNull(), F.struct(F.lit("in").alias("mode"), before.alias("row")))
     old = F.when(before.isNotNull(), F.struct(F.lit("before").alias("mode"), before.alias("row")))
-    return h.select("id", "type", F.explode(F.filter(F.array(in_, old), lambda s: s.isNotNull())).alias("s")).select("id", "type", "s.*")
+    return h.select("id", "type", *more, F.explode(F.filter(F.array(in_, old), lambda s: s.isNotNull())).alias("s")).select("id", "type", *more, "s.*")
 
 
 def geometries(h: Histories, modes: tuple[str, ...] = MODES, parts_only: bool = False) -> DataFrame:
@@ -136,15 +154,22 @@ def geometries(h: Histories, modes: tuple[str, ...] = MODES, parts_only: bool =
     w = w.join(way_points(w, h.nodes), ["id", "mode"], "left")
     lines = w.select("type", "id", "mode", _way_wkb(F.col("points"), F.coalesce(ring_area(F.col("points"), F.col("row.tags")), F.lit(False))).alias("wkb"))
     done = tmp.keep(points.unionByName(lines), "level-0")
-    # A level draws the relations whose nested relations are all drawn; what then is left leads to a cycle.
+    return _by_levels(tmp, rel, inner, done, ["wkb"], lambda some: some.select("type", "id", "mode", _relation_wkb("parts", is_multipolygon(F.col("tags"))).alias("wkb")))
+
+
+def _by_levels(tmp: WorkTables, rel: DataFrame, inner: DataFrame, done: DataFrame, columns: list[str], make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """done, and the relations rel (id, mode, …) with members inner (id, mode, pos, mt, ref, role), which make draws from their ``parts`` of these columns.
+
+    A level draws the relations whose nested relations are all drawn; what then is left leads to a cycle.
+    """
     known = rel.select(F.col("id").alias("ref"), "mode")
     nested = tmp.keep(inner.where(F.col("mt") == RELATION).select("id", "mode", "ref").distinct().join(known, ["ref", "mode"], "left_semi"), "nested")
     keys = ["id", "mode"]
 
     def draw(some: DataFrame, parts: DataFrame, name: str) -> DataFrame:
-        at = inner.join(some.select(*keys), keys, "left_semi").join(parts.select(F.col("type").alias("mt"), F.col("id").alias("ref"), "mode", "wkb"), ["mt", "ref", "mode"])
-        listed = at.groupBy("id", "mode").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("mt").alias("type"), "role", "wkb"))).alias("parts"))
-        return tmp.keep(some.join(listed, keys, "left").select("type", "id", "mode", _relation_wkb("parts", is_multipolygon(F.col("tags"))).alias("wkb")), name)
+        at = inner.join(some.select(*keys), keys, "left_semi").join(parts.select(F.col("type").alias("mt"), F.col("id").alias("ref"), "mode", *columns), ["ref", "mode", "mt"])
+        listed = at.groupBy("id", "mode").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("mt").alias("type"), "role", *columns))).alias("parts"))
+        return tmp.keep(make(some.join(listed, keys, "left")), name)
 
     if not nested.limit(1).count():
         return done.unionByName(draw(rel, done, "relations-0"))
@@ -168,11 +193,6 @@ def geometries(h: Histories, modes: tuple[str, ...] = MODES, parts_only: bool =
     return done if drawn is None else done.unionByName(drawn)
 
 
-@F.pandas_udf(StringType())
-def _geometry_json(g: pd.Series) -> pd.Series:
-    return g.map(lambda b: None if b is None else json.dumps(wkb.to_geojson(*wkb.load(b)), separators=(",", ":")))
-
-
 def iso_instant(ts: Column) -> Column:
     """ISO 8601 in UTC; fractions of a second only where there are any."""
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
@@ -200,24 +220,90 @@ def _point_shapes(nodes: DataFrame) -> DataFrame:
 
 def _line_shapes(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     """Features of ways with their geometry as JSON, ``shape``: native."""
-    f = features(ways)
-    f = f.join(way_points(f, nodes), ["id", "mode"], "left")
-    line = F.concat(F.lit("["), F.coalesce(F.array_join(F.transform("points", lambda p: _pair(p["x"], p["y"])), ","), F.lit("")), F.lit("]"))
-    polygon = F.coalesce(ring_area(F.col("points"), F.col("row.tags")), F.lit(False))
-    shape = F.when(polygon, F.concat(F.lit('{"type":"Polygon","coordinates":['), line, F.lit("]}"))).otherwise(F.concat(F.lit('{"type":"LineString","coordinates":'), line, F.lit("}")))
-    return f.withColumn("shape", shape).select("id", "type", "mode", "visible", "row", "shape")
+    shape = F.when(F.col("polygon"), _polygon_json(F.col("line"))).otherwise(_json_of(F.lit(_LINE), F.col("line")))
+    return way_lines(features(ways), nodes).withColumn("shape", shape).select("id", "type", "mode", "visible", "row", "shape")
+
+
+#: How the JSON of a geometry is held while relations are drawn: a line's and a multi-line's coordinates, the latter's without the outer brackets, or the whole geometry.
+_LINE, _LINES, _WHOLE = "line", "lines", "whole"
+_POLYGON = '{"type":"Polygon",'
+
+
+def _json_of(kind: Column, text: Column) -> Column:
+    line, lines = F.concat(F.lit('{"type":"LineString","coordinates":'), text, F.lit("}")), F.concat(F.lit('{"type":"MultiLineString","coordinates":['), text, F.lit("]}"))
+    return F.when(kind == _LINE, line).when(kind == _LINES, lines).otherwise(text)
+
+
+def _polygon_json(line: Column) -> Column:
+    return F.concat(F.lit(_POLYGON + '"coordinates":['), line, F.lit("]}"))
+
+
+def _wkb_of(kind: str, text: str | None) -> bytes | None:
+    if text is None:
+        return None
+    at = lambda points: np.asarray(points, float).reshape(-1, 2)
+    return wkb.dump(wkb.LINE, at(json.loads(text))) if kind == _LINE else wkb.dump(wkb.POLYGON, [at(r) for r in json.loads(text)["coordinates"]])
+
+
+@F.pandas_udf(StringType())
+def _assembled(members: pd.Series) -> pd.Series:
+    """JSON of the polygons of members (array of type, role, kind, text; texts of lines and polygons); null if they can't be assembled, or are null."""
+
+    def one(parts):
+        made = None if parts is None else assembly.multipolygon([CODES[m["type"]] for m in parts], [m["role"] for m in parts], [_wkb_of(m["kind"], m["text"]) for m in parts])
+        return None if made is None else json.dumps(wkb.to_geojson(*wkb.load(made)), separators=(",", ":"))
+
+    return pd.Series([one(p) for p in members], dtype=object)
+
+
+def _relation_json(some: DataFrame) -> DataFrame:
+    """Relations drawn from the JSON of their parts, by the rules of ``_relation_wkb``: only polygons are made outside the JVM, of which lines and polygons are parts."""
+    parts = F.coalesce("parts", F.array().cast(some.schema["parts"].dataType))
+    ring = lambda m: F.when((m["kind"] == _LINE) | m["text"].startswith(_POLYGON), m["text"])
+    made = _assembled(F.when(F.col("polygon"), F.transform(parts, lambda m: F.struct(m["type"].alias("type"), m["role"].alias("role"), m["kind"].alias("kind"), ring(m).alias("text")))))
+    lines = ~F.col("polygon") & (F.size(parts) > 0) & F.forall(parts, lambda m: m["kind"].isin(_LINE, _LINES))
+    nowhere = F.lit('{"type":"Point","coordinates":[]}')  # nodes without a place
+    whole = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.array_join(F.transform(parts, lambda m: F.coalesce(_json_of(m["kind"], m["text"]), nowhere)), ","), F.lit("]}"))
+    text = F.coalesce("made", F.when(lines, F.array_join(F.transform(parts, lambda m: m["text"]), ",")).otherwise(whole))
+    return some.withColumn("made", made).select("type", "id", "mode", "shown", "props", F.when(lines, _LINES).otherwise(_WHOLE).alias("kind"), text.alias("text"))
+
+
+def _with_relations(h: Histories) -> DataFrame:
+    """(type, id, mode, shown, props, kind, text): ways and relations to be shown, and their parts, each drawn once."""
+    tmp = WorkTables(h.nodes.sparkSession, "geojson")
+    # Of an entity with a row in the window all states are shown.
+    shown = F.col("shown")
+    every = lambda df: states(df.withColumn("shown", F.col("now").isNotNull()), "shown")
+    props = F.when(shown, _properties_json(F.col("row"), F.col("mode") == "in")).alias("props")
+    rel = tmp.keep(every(h.relations).select("id", "type", "mode", "shown", props, "row.members", is_multipolygon(F.col("row.tags")).alias("polygon")), "relations")
+    inner = rel.select("id", "mode", F.posexplode("members").alias("pos", "m")).select("id", "mode", "pos", F.col("m.type").alias("mt"), F.col("m.ref").alias("ref"), F.col("m.role").alias("role"))
+    used = inner.where(F.col("mt") != RELATION).select(F.col("ref").alias("id"), "mode", F.col("mt").alias("type")).distinct()
+    point = F.concat(F.lit('{"type":"Point","coordinates":'), _pair(F.col("row.lon"), F.col("row.lat")), F.lit("}"))
+    points = every(h.nodes).join(used, ["id", "mode", "type"], "left_semi").select("type", "id", "mode", F.lit(False).alias("shown"), F.lit(None).cast("string").alias("props"), F.lit(_WHOLE).alias("kind"), point.alias("text"))
+    w = every(h.ways).join(used.withColumn("used", F.lit(True)), ["id", "mode", "type"], "left").where(shown | F.col("used"))
+    # Written, as it is read twice: for the vertices, and for the rest.
+    w = tmp.keep(w.select("type", "id", "mode", "shown", props, F.struct("row.nds", "row.tags").alias("row")), "ways")
+    area, at = F.col("polygon"), F.col("line")
+    ways = way_lines(w, h.nodes).select("type", "id", "mode", "shown", "props", F.when(area, _WHOLE).otherwise(_LINE).alias("kind"), F.when(area, _polygon_json(at)).otherwise(at).alias("text"))
+    done = tmp.keep(points.unionByName(ways), "level-0")
+    return _by_levels(tmp, rel.drop("members"), inner, done, ["kind", "text"], _relation_json)
+
+
+def _properties_json(row: Column, visible: Column) -> Column:
+    return F.to_json(properties(row, visible), {"ignoreNullFields": "false"})
 
 
 def geojson(h: Histories) -> DataFrame:
-    """(type, id, mode, value): one GeoJSON feature for each state to be shown. Only relations are drawn outside the JVM."""
-    shown = _point_shapes(h.nodes).unionByName(_line_shapes(h.ways, h.nodes))
-    drawn = features(h.relations)
-    if drawn.limit(1).count():
-        shapes = geometries(h, parts_only=True).where(F.col("type") == RELATION).select("id", "mode", _geometry_json("wkb").alias("shape"))
-        shown = shown.unionByName(drawn.join(shapes, ["id", "mode"], "left").select("id", "type", "mode", "visible", "row", "shape"))
-    props = F.to_json(properties(F.col("row"), F.col("visible")), {"ignoreNullFields": "false"})
-    value = F.concat(F.lit('{"type":"Feature","geometry":'), F.coalesce("shape", F.lit("null")), F.lit(',"properties":'), props, F.lit("}"))
-    return shown.select("type", "id", "mode", value.alias("value"))
+    """(type, id, mode, value): one GeoJSON feature for each state to be shown. Only relations' polygons are drawn outside the JVM."""
+    shown = _point_shapes(h.nodes)
+    with_relations = features(h.relations).limit(1).count() > 0
+    if not with_relations:
+        shown = shown.unionByName(_line_shapes(h.ways, h.nodes))
+    line = lambda shape, props: F.concat(F.lit('{"type":"Feature","geometry":'), F.coalesce(shape, F.lit("null")), F.lit(',"properties":'), props, F.lit("}")).alias("value")
+    lines = shown.select("type", "id", "mode", line(F.col("shape"), _properties_json(F.col("row"), F.col("visible"))))
+    if with_relations:
+        lines = lines.unionByName(_with_relations(h).where("shown").select("type", "id", "mode", line(_json_of(F.col("kind"), F.col("text")), F.col("props"))))
+    return lines
 
 
 def unquoted(line: Column) -> Column:
